@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,6 +131,6 @@ def either(conditions: Sequence[Column]) -> Column:
 
 def change_from_previous(value: Column, window) -> Column:
     """Relative change against the previous row, missing values padded forward first."""
-    padded = F.last(value, ignorenulls=True).over(window.rowsBetween(window.unboundedPreceding, 0))
-    before = F.last(value, ignorenulls=True).over(window.rowsBetween(window.unboundedPreceding, -1))
+    padded = F.last(value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))
+    before = F.last(value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
     return F.try_divide(padded - before, before)

@@ -1,7 +1,7 @@
 """The ``events`` table seen as raw clickstream, with drift, gaps, bad payloads and retries.
 
 The table itself has none of these, so the queries read it through this fixed mapping;
-``RAW_SQL`` is the same mapping for the SQL side of the comparison.
+``RAW_ONCE_SQL`` is the same mapping for the SQL side of the comparison.
 """
 
 from __future__ import annotations
@@ -81,11 +81,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("copy")
 
 
-RAW_SQL = """
-base AS (
-  SELECT *, CAST(ts AS DATE) AS d, 'u' || CAST(user_id AS VARCHAR) AS u FROM events
-),
-once AS (
+# ``base`` is the table with ``d`` (day) and ``u`` (user text); the two identity columns are
+# named apart because SQL names do not differ by case.
+RAW_ONCE_SQL = """
   SELECT event_id, ts AS "timestamp", d AS event_date,
     CASE WHEN d < DATE '2024-01-11' AND event_id % 50 <> 0 THEN u END AS cid_old,
     CASE WHEN d >= DATE '2024-01-11'
@@ -115,7 +113,4 @@ once AS (
              || CASE WHEN event_id % 7 = 0 THEN '' ELSE ',"item_name":"n"' END || '}'
       WHEN 'signup' THEN '{"step":1}' WHEN 'view' THEN '{}' END AS event_data
   FROM base
-),
-raw AS (
-  SELECT * FROM once UNION ALL SELECT * FROM once WHERE event_id % 97 = 0
-)"""
+"""
