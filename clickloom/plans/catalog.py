@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from clickloom.plans import queries_basic
+from clickloom.plans import queries_basic, queries_sessions
 from clickloom.plans.registry import COMPARISONS, QUERIES
 
-__all__ = ["COMPARISONS", "QUERIES", "queries_basic"]
+__all__ = ["COMPARISONS", "QUERIES", "queries_basic", "queries_sessions"]
