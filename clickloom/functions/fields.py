@@ -122,7 +122,8 @@ def null_share(column: Column) -> Column:
 
 
 def percent_text(share: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", share * 100)
+    """A share as percent text; ties go to the even digit."""
+    return F.format_string(f"%.{digits}f%%", F.bround(share * 100, digits))
 
 
 def either(conditions: Sequence[Column]) -> Column:
