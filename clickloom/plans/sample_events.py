@@ -22,9 +22,18 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table as a file stream."""
+    schema = events_table(spark, sf_dir).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_raw(events_table(spark, sf_dir))
+
+
+def as_raw(table: DataFrame) -> DataFrame:
     """event_id, timestamp, event_date, client_id, clientId, event_name, page_url, referrer, event_data."""
-    table = events_table(spark, sf_dir)
     e, day = F.col("event_id"), F.to_date("ts")
     user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
     text = e.cast("string")
