@@ -77,13 +77,18 @@ def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -
         .schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # A pruned parse would not look at the fields that make a line unreadable.
+        .option("columnPruning", False)
         .csv(sorted(paths))
     )
+    # Spark refuses a query that needs nothing but the corrupt column, so that column is
+    # given an empty piece of a real field, which keeps the field in every query.
+    nothing = F.substring(F.coalesce(F.col(f"`{header[0]}`"), F.lit("")), 1, 0)
     return rows.select(
         F.regexp_extract(F.col("_metadata.file_path"), FILE_PATTERN, 1).alias("file"),
         F.array(*map(F.lit, header)).alias("header"),
         *[na_to_null(F.col(f"`{c}`")).alias(c) for c in header],
-        CORRUPT,
+        F.concat(CORRUPT, nothing).alias(CORRUPT),
     )
 
 
