@@ -41,14 +41,17 @@ def url_host(url: Column) -> Column:
 
 
 def utm_tag(url: Column, name: str) -> Column:
-    """Lower-cased ``utm_<name>``; the value runs to the next '&', fragments included."""
-    return F.lower(captured(url, UTM_PATTERN.format(name=name)))
+    """Lower-cased ``utm_<name>``; the value runs to the next '&', fragments included.
+
+    Most URLs carry no tag at all, and the substring test is far cheaper than the pattern.
+    """
+    return F.when(url.contains(f"utm_{name}="), F.lower(captured(url, UTM_PATTERN.format(name=name))))
 
 
 def payload_value(payload: Column, key: str) -> Column:
     """Scalar text under a top-level key; NULL for bad JSON, JSON null, objects and arrays."""
     text = F.get_json_object(payload, f"$.{key}")
-    nested = text.rlike(r"^\s*[\[{]") & F.try_parse_json(text).isNotNull()
+    nested = (text.startswith("{") | text.startswith("[")) & F.try_parse_json(text).isNotNull()
     return F.when(~nested, text)
 
 

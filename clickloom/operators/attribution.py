@@ -16,58 +16,76 @@ from pyspark.sql import functions as F
 from clickloom.config import SQL, Settings
 from clickloom.functions.fields import days_before
 from clickloom.operators.conversions import conversions as dedupe_conversions
-from clickloom.operators.sessions import build_sessions, slice_of
+from clickloom.operators.sessions import fold_slices, number_slices, slice_of
+
+
+def _touch(start: str, first_channel: str, last_channel: str) -> Column:
+    return F.struct(
+        F.col(start).alias("start"), F.col(first_channel).alias("first_channel"), F.col(last_channel).alias("last_channel")
+    )
 
 
 def _timeline(conversions: DataFrame, sessions: DataFrame, settings: Settings) -> DataFrame:
     """Session starts and conversion slices of each user on one axis of slices."""
-    touch = F.struct(
-        F.col("session_start_ts").alias("start"),
-        F.col("session_first_channel").alias("first_channel"),
-        F.col("session_last_channel").alias("last_channel"),
-    )
+    touch = _touch("session_start_ts", "session_first_channel", "session_last_channel")
     starts = sessions.select(
-        "user_id", slice_of(F.col("session_start_ts"), settings).alias("slice"), touch.alias("touch")
+        "user_id",
+        slice_of(F.col("session_start_ts"), settings).alias("slice"),
+        touch.alias("touch"),
+        F.lit(False).alias("wanted"),
     )
     probes = (
         conversions.select("user_id", slice_of(F.col("conversion_ts"), settings).alias("slice"))
         .where(F.col("slice").isNotNull())
         .distinct()
-        .withColumn("touch", F.lit(None).cast(starts.schema["touch"].dataType))
+        .select("user_id", "slice", F.lit(None).cast(starts.schema["touch"].dataType).alias("touch"), F.lit(True).alias("wanted"))
     )
     return starts.unionByName(probes)
 
 
-def _before(moment: Column, limit: Column, settings: Settings) -> Column:
-    return moment <= limit if settings.include_conversion_start else moment < limit
+def _slices_with_touches(events: DataFrame, settings: Settings) -> DataFrame:
+    """The same axis straight from staged events, without a second pass for the probes.
 
+    The fold that builds sessions already visits every slice with a conversion, so it
+    only has to remember that there was one.
+    """
+    whole = Window.partitionBy("user_id", "session_seq")
+    touch = _touch("first_ts", "opening.derived_channel", "session_last_channel")
+    return (
+        number_slices(fold_slices(events, settings), settings)
+        .withColumn("session_last_channel", F.max_by("closing_channel", "slice").over(whole))
+        .select("user_id", "slice", F.when(F.col("opens"), touch).alias("touch"), F.col("has_conversion").alias("wanted"))
+    )
 
-def match_sessions(conversions: DataFrame, sessions: DataFrame, settings: Settings = SQL) -> DataFrame:
-    """Conversions with ``first_touch`` and ``last_touch``, NULL where none is in the window.
 
-    A touch is a struct (start, first_channel, last_channel) of a session that starts
-    within the lookback and not after the conversion.
+def _resolve(timeline: DataFrame, settings: Settings) -> DataFrame:
+    """Per wanted (user, slice): the sessions that can be a first or last touch in it.
+
+    ``here`` starts in the slice itself, ``earlier`` is the last one before it, ``edge``
+    starts in the slice the lookback opens in, ``inside`` is the first one after that.
     """
     span = settings.lookback_slices
     line = Window.partitionBy("user_id").orderBy("slice")
-
-    def seen(start: int, end: int) -> Window:
-        return line.rangeBetween(start, end)
-
-    resolved = (
-        _timeline(conversions, sessions, settings)
-        .select(
+    return (
+        timeline.select(
             "user_id",
             "slice",
-            F.col("touch").isNull().alias("is_probe"),
-            F.last("touch", ignorenulls=True).over(seen(Window.unboundedPreceding, -1)).alias("earlier"),
-            F.max("touch").over(seen(0, 0)).alias("here"),
-            F.max("touch").over(seen(-span, -span)).alias("edge"),
-            F.first("touch", ignorenulls=True).over(seen(1 - span, 0)).alias("inside"),
+            "wanted",
+            F.last("touch", ignorenulls=True).over(line.rangeBetween(Window.unboundedPreceding, -1)).alias("earlier"),
+            F.max("touch").over(line.rangeBetween(0, 0)).alias("here"),
+            F.max("touch").over(line.rangeBetween(-span, -span)).alias("edge"),
+            F.first("touch", ignorenulls=True).over(line.rangeBetween(1 - span, 0)).alias("inside"),
         )
-        .where("is_probe")
-        .drop("is_probe")
+        .where("wanted")
+        .drop("wanted")
     )
+
+
+def _before(moment: Column, limit: Column, settings: Settings) -> Column:
+    return moment <= limit if settings.include_conversion_start else moment < limit
+
+
+def _match(conversions: DataFrame, resolved: DataFrame, settings: Settings) -> DataFrame:
     opens = days_before(F.col("conversion_ts"), settings.lookback_days)
     at = F.col("conversion_ts")
     last = F.when(_before(F.col("here.start"), at, settings), F.col("here")).otherwise(F.col("earlier"))
@@ -86,6 +104,21 @@ def match_sessions(conversions: DataFrame, sessions: DataFrame, settings: Settin
     )
 
 
+def match_sessions(conversions: DataFrame, sessions: DataFrame, settings: Settings = SQL) -> DataFrame:
+    """Conversions with ``first_touch`` and ``last_touch``, NULL where none is in the window.
+
+    A touch is a struct (start, first_channel, last_channel) of a session that starts
+    within the lookback and not after the conversion.
+    """
+    return _match(conversions, _resolve(_timeline(conversions, sessions, settings), settings), settings)
+
+
+def match_events(events: DataFrame, settings: Settings = SQL) -> DataFrame:
+    """Conversions of staged events with their touches: two scans, no session table."""
+    resolved = _resolve(_slices_with_touches(events, settings), settings)
+    return _match(dedupe_conversions(events, settings), resolved, settings)
+
+
 def credit(matched: DataFrame, settings: Settings = SQL) -> DataFrame:
     """First- and last-click channel of matched conversions."""
     last = "last_touch.last_channel" if settings.last_click_from == "last" else "last_touch.first_channel"
@@ -107,4 +140,4 @@ def attribute(conversions: DataFrame, sessions: DataFrame, settings: Settings =
 
 def attribute_events(events: DataFrame, settings: Settings = SQL) -> DataFrame:
     """Gold table straight from staged events."""
-    return attribute(dedupe_conversions(events, settings), build_sessions(events, settings), settings)
+    return credit(match_events(events, settings), settings)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,13 +71,8 @@ def gold_days(gold: DataFrame) -> DataFrame:
 
 
 def dates_to_check(raw: DataFrame, gold: DataFrame, check_date: date | str | None = None) -> DataFrame:
-    """One row per date to check: the given one, all of them, or the latest gold date."""
+    """One row, the date to check: the given one, else the latest gold date, else today."""
     session = raw.sparkSession
-    if check_date == ALL_DATES:
-        days = raw.select(F.to_date(fields.instant(raw, "timestamp")).alias("check_date"))
-        if "conversion_time" in gold.columns:
-            days = days.union(gold.select(F.to_date(fields.instant(gold, "conversion_time"))))
-        return days.where(F.col("check_date").isNotNull()).distinct()
     if check_date is not None:
         return session.range(1).select(F.lit(str(check_date)).cast("date").alias("check_date"))
     if "conversion_time" in gold.columns:
@@ -156,15 +152,18 @@ def checked_days(raw: DataFrame, gold: DataFrame, check_date: date | str | None
     costs the same two scans as checking one.
     """
     alerts = _schema_alerts(raw, gold)
-    days = dates_to_check(raw, gold, check_date)
+    tables = []
     if "timestamp" in raw.columns:
-        known = raw_days(raw).withColumnRenamed("event_date", "check_date")
-        days = days.join(known, "check_date", "left")
+        tables.append(raw_days(raw))
         alerts = alerts + _volume_alerts() + _quality_alerts()
     if {"conversion_time", "revenue", "last_click_channel"} <= set(gold.columns):
-        sums = gold_days(gold).withColumnRenamed("event_date", "check_date")
-        days = days.join(sums, "check_date", "left")
+        tables.append(gold_days(gold))
         alerts = alerts + _business_alerts()
+    tables = [t.withColumnRenamed("event_date", "check_date") for t in tables]
+    if check_date == ALL_DATES and tables:
+        days = reduce(lambda a, b: a.join(b, "check_date", "full"), tables).where(F.col("check_date").isNotNull())
+    else:
+        days = reduce(lambda a, b: a.join(b, "check_date", "left"), tables, dates_to_check(raw, gold, check_date))
     kept = F.filter(F.array(*alerts), lambda a: a.isNotNull()) if alerts else F.array()
     return days.select("check_date", kept.alias("alerts"))
 

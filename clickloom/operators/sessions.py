@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from clickloom.config import SQL, Settings
 from clickloom.functions.fields import time_slice
+from clickloom.operators.normalize import is_conversion
 
 
 def slice_of(moment: Column, settings: Settings) -> Column:
@@ -41,6 +42,7 @@ def fold_slices(events: DataFrame, settings: Settings = SQL) -> DataFrame:
             F.count("event_name").alias("named_count"),
             F.min_by(F.struct("derived_channel", "utm_campaign"), order).alias("opening"),
             F.max_by("derived_channel", order).alias("closing_channel"),
+            F.coalesce(F.bool_or(is_conversion()), F.lit(False)).alias("has_conversion"),
         )
     )
 

@@ -207,3 +207,14 @@ def test_session_scan_is_pruned(spark, sf_dir):
     scan = next(line for line in text.splitlines() if "FileScan" in line)
     assert "value" not in scan.split("ReadSchema")[1] and "props" not in scan.split("ReadSchema")[1]
     assert text.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("settings", [SQL, PANDAS, Settings(slice_seconds=120, lookback_days=1)])
+def test_both_ways_of_attribution_agree(spark, sf_dir, settings):
+    from clickloom.operators.conversions import conversions
+    from clickloom.plans.sample_events import raw_events
+
+    staged = stage_events(raw_events(spark, sf_dir), settings)
+    direct = attribute_events(staged, settings)
+    by_table = attribute(conversions(staged, settings), build_sessions(staged, settings), settings)
+    assert direct.exceptAll(by_table).count() == 0 and direct.count() == by_table.count() > 0
