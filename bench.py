@@ -10,6 +10,7 @@ import time
 from pyspark.sql import SparkSession
 
 from clickloom.plans.catalog import QUERIES
+from clickloom.session import configure
 
 HEADLINE = (
     "p12_staged_projection",
@@ -37,13 +38,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        configure(SparkSession.builder.master(f"local[{cpus}]"))
         .appName("clickloom-bench")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        # Above this the JIT leaves a generated method interpreted; Spark then splits it instead.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")

@@ -43,7 +43,7 @@ def _timeline(conversions: DataFrame, sessions: DataFrame, settings: Settings) -
     return starts.unionByName(probes)
 
 
-def _slices_with_touches(events: DataFrame, settings: Settings) -> DataFrame:
+def slices_with_touches(events: DataFrame, settings: Settings) -> DataFrame:
     """The same axis straight from staged events, without a second pass for the probes.
 
     The fold that builds sessions already visits every slice with a conversion, so it
@@ -81,14 +81,14 @@ def _resolve(timeline: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _before(moment: Column, limit: Column, settings: Settings) -> Column:
+def before(moment: Column, limit: Column, settings: Settings) -> Column:
     return moment <= limit if settings.include_conversion_start else moment < limit
 
 
 def _match(conversions: DataFrame, resolved: DataFrame, settings: Settings) -> DataFrame:
     opens = days_before(F.col("conversion_ts"), settings.lookback_days)
     at = F.col("conversion_ts")
-    last = F.when(_before(F.col("here.start"), at, settings), F.col("here")).otherwise(F.col("earlier"))
+    last = F.when(before(F.col("here.start"), at, settings), F.col("here")).otherwise(F.col("earlier"))
     first = F.when(F.col("edge.start") >= opens, F.col("edge")).otherwise(F.col("inside"))
     return (
         conversions.withColumn("slice", slice_of(at, settings))
@@ -97,7 +97,7 @@ def _match(conversions: DataFrame, resolved: DataFrame, settings: Settings) -> D
         .withColumns(
             {
                 "last_touch": F.when(F.col("last_touch.start") >= opens, F.col("last_touch")),
-                "first_touch": F.when(_before(F.col("first_touch.start"), at, settings), F.col("first_touch")),
+                "first_touch": F.when(before(F.col("first_touch.start"), at, settings), F.col("first_touch")),
             }
         )
         .drop("slice", "earlier", "here", "edge", "inside")
@@ -115,7 +115,7 @@ def match_sessions(conversions: DataFrame, sessions: DataFrame, settings: Settin
 
 def match_events(events: DataFrame, settings: Settings = SQL) -> DataFrame:
     """Conversions of staged events with their touches: two scans, no session table."""
-    resolved = _resolve(_slices_with_touches(events, settings), settings)
+    resolved = _resolve(slices_with_touches(events, settings), settings)
     return _match(dedupe_conversions(events, settings), resolved, settings)
 
 

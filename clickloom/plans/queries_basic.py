@@ -84,22 +84,12 @@ def _(x):
 
 
 def damaged_files(x: Inputs) -> str:
-    """Daily CSV files in which some lines lost their last two fields."""
+    """Daily files of CSV lines without a header, some of which lost their last two fields."""
     root = tables.shared_folder(x.spark, "damaged-files")
-    header = "event_id,event_name,page_url,timestamp"
     whole = F.concat_ws(",", F.col("event_id").cast("string"), "event_name", F.lit("/p"), F.col("timestamp").cast("string"))
     cut = F.concat_ws(",", F.col("event_id").cast("string"), "event_name")
     lines = x.files.select("file", F.when(F.col("event_id") % 89 == 7, cut).otherwise(whole).alias("line"))
-    heads = lines.select("file").distinct().select("file", F.lit(header).alias("line"))
-    (
-        heads.withColumn("rank", F.lit(0))
-        .union(lines.withColumn("rank", F.lit(1)))
-        .repartition("file")
-        .sortWithinPartitions("file", "rank")
-        .drop("rank")
-        .write.partitionBy("file")
-        .text(root)
-    )
+    lines.hint("rebalance", F.col("file")).write.partitionBy("file").text(root)
     return f"{root}/*{event_files.FILE_GLOB}"
 
 
@@ -109,7 +99,7 @@ SELECT {FILE_NAME} AS file, count(*) FILTER (WHERE event_id % 89 <> 7) AS kept,
 def _(x):
     text = x.spark.read.option("recursiveFileLookup", True).text(damaged_files(x))
     lines = text.select(F.regexp_extract(F.col("_metadata.file_path"), event_files.FILE_PATTERN, 1).alias("file"), "value")
-    parsed = lines.where(~F.col("value").startswith("event_id,")).select(
+    parsed = lines.select(
         "file",
         F.from_csv(
             "value",

@@ -16,14 +16,13 @@ from clickloom.functions.fields import na_to_null
 # columns raw events have when there is nothing to read.
 FILE_GLOB = "events_*.csv"
 FILE_PATTERN = r"(events_[^/]+?\.csv)"
+ENTRY_PATTERN = r"^(.*?events_[^/]+?\.csv(?:\.gz)?)"
 RAW_COLUMNS = (
     "client_id", "page_url", "referrer", "timestamp", "event_name", "event_data", "user_agent",
 )
 CORRUPT = "_corrupt_record"
 HEADER_READERS = 16
 
-REPORT_COLUMNS = ("file", "header", CORRUPT)
-
 
 class NoEventFiles(FileNotFoundError):
     """Nothing matched where at least one event file is required."""
@@ -58,14 +57,15 @@ def header_groups(spark: SparkSession, files: DataFrame) -> dict[tuple[str, ...]
     """Daily files by their header.
 
     Metadata work on the driver, one line read per daily file: its size is the number of
-    days, never the number of events.  Parts of one daily file share its header.
+    days, never the number of events or of part files.  Parts of a day share a header.
     """
-    daily = files.groupBy("file").agg(F.min("path").alias("first"), F.collect_list("path").alias("paths")).collect()
+    entry = F.regexp_extract("path", ENTRY_PATTERN, 1).alias("entry")
+    daily = files.groupBy(entry).agg(F.min("path").alias("first")).collect()
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         headers = list(pool.map(lambda row: _columns_of(spark, row["first"]), daily))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for row, header in zip(daily, headers, strict=True):
-        groups[header].extend(row["paths"])
+        groups[header].append(row["entry"])
     return groups
 
 
@@ -122,7 +122,8 @@ def unreadable(events: DataFrame) -> DataFrame:
 def write_event_files(events: DataFrame, root: str, file: str = "file") -> None:
     """Write raw events as one CSV folder per daily file, named so the glob finds it."""
     (
-        events.write.mode("append")
+        events.hint("rebalance", F.col(file))
+        .write.mode("append")
         .partitionBy(file)
         .option("header", True)
         .option("quote", '"')

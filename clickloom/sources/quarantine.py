@@ -38,8 +38,11 @@ def route(raw: DataFrame, contract: Contract = DEFAULT) -> DataFrame:
 
 
 def write_zones(routed: DataFrame, path: str, day: str = "event_date") -> None:
-    """One pass, one write: the zone is the first partition level."""
-    routed.write.mode("overwrite").partitionBy("zone", day).parquet(path)
+    """One pass, one write: the zone is the first partition level.
+
+    Rebalancing brings a zone's day together and splits it where it is large.
+    """
+    routed.hint("rebalance", F.col("zone"), F.col(day)).write.mode("overwrite").partitionBy("zone", day).parquet(path)
 
 
 def replay(quarantined: DataFrame, contract: Contract = DEFAULT) -> DataFrame:
