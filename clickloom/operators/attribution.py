@@ -50,10 +50,10 @@ def slices_with_touches(events: DataFrame, settings: Settings) -> DataFrame:
     only has to remember that there was one.
     """
     whole = Window.partitionBy("user_id", "session_seq")
-    touch = _touch("first_ts", "opening.derived_channel", "session_last_channel")
+    touch = _touch("opening.event_ts", "opening.derived_channel", "last.derived_channel")
     return (
         number_slices(fold_slices(events, settings), settings)
-        .withColumn("session_last_channel", F.max_by("closing_channel", "slice").over(whole))
+        .withColumn("last", F.max("closing").over(whole))
         .select("user_id", "slice", F.when(F.col("opens"), touch).alias("touch"), F.col("has_conversion").alias("wanted"))
     )
 

@@ -30,18 +30,19 @@ def opens_session(moment: Column, previous: Column, settings: Settings = SQL) ->
 
 
 def fold_slices(events: DataFrame, settings: Settings = SQL) -> DataFrame:
-    """One row per user and time slice: bounds, counts, opening and closing channel."""
-    order = F.struct("event_ts", "event_key")
+    """One row per user and time slice: first and last event, counts.
+
+    ``opening`` and ``closing`` are structs ordered by (time, key), so one minimum and
+    one maximum give the bounds of the slice together with the channels at them.
+    """
     return (
         events.where(F.col("event_ts").isNotNull())
         .groupBy("user_id", slice_of(F.col("event_ts"), settings).alias("slice"))
         .agg(
-            F.min("event_ts").alias("first_ts"),
-            F.max("event_ts").alias("last_ts"),
+            F.min(F.struct("event_ts", "event_key", "derived_channel", "utm_campaign")).alias("opening"),
+            F.max(F.struct("event_ts", "event_key", "derived_channel")).alias("closing"),
             F.count(F.lit(1)).alias("row_count"),
             F.count("event_name").alias("named_count"),
-            F.min_by(F.struct("derived_channel", "utm_campaign"), order).alias("opening"),
-            F.max_by("derived_channel", order).alias("closing_channel"),
             F.coalesce(F.bool_or(is_conversion()), F.lit(False)).alias("has_conversion"),
         )
     )
@@ -51,8 +52,8 @@ def number_slices(slices: DataFrame, settings: Settings = SQL) -> DataFrame:
     """Give every slice the running session number of its user and the slice before it."""
     by_time = Window.partitionBy("user_id").orderBy("slice")
     return (
-        slices.withColumn("previous_last_ts", F.lag("last_ts").over(by_time))
-        .withColumn("opens", opens_session(F.col("first_ts"), F.col("previous_last_ts"), settings))
+        slices.withColumn("previous_last_ts", F.lag("closing.event_ts").over(by_time))
+        .withColumn("opens", opens_session(F.col("opening.event_ts"), F.col("previous_last_ts"), settings))
         .withColumn("session_seq", F.sum(F.col("opens").cast("bigint")).over(
             by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     )
@@ -73,21 +74,19 @@ def build_sessions(events: DataFrame, settings: Settings = SQL) -> DataFrame:
         number_slices(fold_slices(events, settings), settings)
         .groupBy("user_id", "session_seq")
         .agg(
-            F.min("first_ts").alias("session_start_ts"),
-            F.max("last_ts").alias("session_end_ts"),
+            F.min("opening").alias("opening"),
+            F.max("closing").alias("closing"),
             F.sum(counted).alias("events"),
-            F.min_by("opening", "slice").alias("opening"),
-            F.max_by("closing_channel", "slice").alias("session_last_channel"),
         )
         .select(
             session_id(settings).alias("session_id"),
             "user_id",
             "session_seq",
-            "session_start_ts",
-            "session_end_ts",
+            F.col("opening.event_ts").alias("session_start_ts"),
+            F.col("closing.event_ts").alias("session_end_ts"),
             "events",
             F.col("opening.derived_channel").alias("session_first_channel"),
-            "session_last_channel",
+            F.col("closing.derived_channel").alias("session_last_channel"),
             F.col("opening.utm_campaign").alias("session_campaign"),
         )
     )
