@@ -151,57 +151,87 @@ def row_violations(raw: DataFrame, day: str = "event_date", contract: Contract =
     )
 
 
-def missing_columns(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
-    """R1: required columns a day lacks.  A column without a single value counts as absent."""
-    events = fold_aliases(raw, contract.aliases)
-    have = [c for c in contract.required_columns if c in events.columns]
-    if "header" in events.columns:
-        names = F.transform("header", lambda h: F.coalesce(F.create_map(
-            *[F.lit(x) for pair in contract.aliases.items() for x in pair])[h], h))
-        counts = events.groupBy(F.col(day).alias("event_date")).agg(
-            *[F.count_if(F.array_contains(names, c)).alias(c) for c in contract.required_columns]
-        )
-    else:
-        counts = events.groupBy(F.col(day).alias("event_date")).agg(*[F.count(c).alias(c) for c in have])
-    empty = [
-        F.when(F.col(c) == 0 if c in counts.columns else F.lit(True), c) for c in contract.required_columns
-    ]
-    return (
-        counts.select("event_date", F.explode(F.array(*empty)).alias("key"))
-        .where(F.col("key").isNotNull())
-        .select(*_labels("R1_required_column", "CRITICAL", "schema_drift"), "event_date", "key", F.lit(1).cast("bigint").alias("n"))
-    )
+def _labels(rule: str, severity: str, code: str) -> list[Column]:
+    return [F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), F.lit(code).alias("code")]
 
 
-def _labels(rule: str, severity: str | Column, code: str) -> list[Column]:
-    severity = F.lit(severity) if isinstance(severity, str) else severity
-    return [F.lit(rule).alias("rule"), severity.alias("severity"), F.lit(code).alias("code")]
+def _folded(raw: DataFrame, name: str, contract: Contract) -> Column:
+    """A column under its expected name, alternates included; NULL if there is none."""
+    names = [n for n in (name, *[a for a, to in contract.aliases.items() if to == name]) if n in raw.columns]
+    return F.coalesce(*names) if names else F.lit(None).cast("string")
 
 
-def drifted_days(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
-    """Days on which an alternate column name is in use; the events themselves are normalised."""
-    used = [a for a in contract.aliases if a in raw.columns]
-    if not used:
-        return missing_columns(raw, day, contract).where(F.lit(False))
-    counts = raw.groupBy(F.col(day).alias("event_date")).agg(*[F.count(a).alias(a) for a in used])
-    pairs = F.array(*[F.struct(F.lit(a).alias("key"), F.col(a).alias("n")) for a in used])
-    return (
-        counts.select("event_date", F.explode(pairs).alias("p"))
-        .where("p.n > 0")
-        .select(*_labels("P3_alternate_column", "WARNING", "schema_drift"), "event_date", "p.key", "p.n")
+def day_profile(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
+    """Everything the rules about a whole day need, one row per day from one pass."""
+    moment = fields.instant(raw, "timestamp")
+    payload = F.col("event_data")
+
+    def present(name: str) -> Column:
+        if "header" in raw.columns:
+            accepted = (name, *[a for a, to in contract.aliases.items() if to == name])
+            return F.count_if(fields.either([F.array_contains("header", n) for n in accepted]))
+        return F.count(_folded(raw, name, contract))
+
+    return raw.groupBy(F.col(day).alias("event_date")).agg(
+        F.count(F.lit(1)).alias("total"),
+        *[present(c).alias(f"present_{c}") for c in contract.required_columns],
+        *[F.count(a).alias(f"alternate_{a}") for a in contract.aliases if a in raw.columns],
+        F.count_if(_folded(raw, "client_id", contract).isNull()).alias("null_ids"),
+        F.count_if(F.col("event_name") == "checkout_completed").alias("completed"),
+        F.count_if(F.col("event_name") == "checkout_started").alias("started"),
+        F.count_if(F.col("timestamp").isNotNull() & moment.isNull()).alias("bad_timestamp"),
+        F.count_if(fields.payload_is_broken(payload)).alias("bad_event_data"),
     )
 
 
-def null_identity_days(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
-    """R3: days with too many events without identity; above the critical rate ingestion fails."""
-    events = fold_aliases(raw, contract.aliases)
-    share = F.try_divide(F.col("n"), F.col("total"))
-    severity = F.when(share > contract.critical_null_rate, "CRITICAL").otherwise("WARNING")
+def day_violations(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
+    """Violations of the rules about a whole day.
+
+    R1: a required column the day lacks (one without a single value counts as absent).
+    P3: an alternate column name is in use; the events themselves are normalised.
+    R3: too many events without identity; above the critical rate ingestion fails.
+    R10: more completed than started checkouts; n is the excess.
+    R14: values that do not fit the declared column type.
+    """
+
+    def found(test: Column, rule: str, severity: Column | str, code: str, key: str, n: Column) -> Column:
+        severity = F.lit(severity) if isinstance(severity, str) else severity
+        columns = {"rule": F.lit(rule), "severity": severity, "code": F.lit(code), "key": F.lit(key), "n": n.cast("bigint")}
+        return F.when(test, F.struct(*[c.alias(name) for name, c in columns.items()]))
+
+    def above_zero(column: str) -> tuple[Column, Column]:
+        return F.col(column) > 0, F.col(column)
+
+    rate = F.try_divide(F.col("null_ids"), F.col("total"))
+    excess = F.col("completed") - F.col("started")
+    findings = [
+        found(F.col(f"present_{c}") == 0, "R1_required_column", "CRITICAL", "schema_drift", c, F.lit(1))
+        for c in contract.required_columns
+    ]
+    for alternate in contract.aliases:
+        if alternate in raw.columns:
+            test, n = above_zero(f"alternate_{alternate}")
+            findings.append(found(test, "P3_alternate_column", "WARNING", "schema_drift", alternate, n))
+    findings.append(
+        found(
+            rate > contract.null_warning,
+            "R3_null_identity",
+            F.when(rate > contract.critical_null_rate, "CRITICAL").otherwise("WARNING"),
+            "high_client_id_nulls",
+            "client_id",
+            F.col("null_ids"),
+        )
+    )
+    findings.append(
+        found(excess > 0, "R10_purchase_follows_checkout", "CRITICAL", "checkout_mismatch", "checkout_completed", excess)
+    )
+    for column in ("timestamp", "event_data"):
+        test, n = above_zero(f"bad_{column}")
+        findings.append(found(test, "R14_column_type", "WARNING", "column_type", column, n))
     return (
-        events.groupBy(F.col(day).alias("event_date"))
-        .agg(F.count_if(F.col("client_id").isNull()).alias("n"), F.count(F.lit(1)).alias("total"))
-        .where(share > contract.null_warning)
-        .select(*_labels("R3_null_identity", severity, "high_client_id_nulls"), "event_date", F.lit("client_id").alias("key"), "n")
+        day_profile(raw, day, contract)
+        .select("event_date", F.explode(F.filter(F.array(*findings), lambda f: f.isNotNull())).alias("f"))
+        .select("f.rule", "f.severity", "f.code", "event_date", "f.key", "f.n")
     )
 
 
@@ -226,51 +256,13 @@ def repeated_transactions(raw: DataFrame, day: str = "event_date") -> DataFrame:
     )
 
 
-def unbacked_checkouts(raw: DataFrame, day: str = "event_date") -> DataFrame:
-    """R10: days with more completed than started checkouts; n is the excess."""
-    return (
-        raw.groupBy(F.col(day).alias("event_date"))
-        .agg(
-            F.count_if(F.col("event_name") == "checkout_completed").alias("completed"),
-            F.count_if(F.col("event_name") == "checkout_started").alias("started"),
-        )
-        .where("completed > started")
-        .select(
-            *_labels("R10_purchase_follows_checkout", "CRITICAL", "checkout_mismatch"),
-            "event_date",
-            F.lit("checkout_completed").alias("key"),
-            (F.col("completed") - F.col("started")).alias("n"),
-        )
-    )
-
-
-def cast_failures(raw: DataFrame, day: str = "event_date") -> DataFrame:
-    """R14: values that do not fit the declared column type, per day and column."""
-    moment = fields.instant(raw, "timestamp")
-    tests = {
-        "timestamp": F.col("timestamp").isNotNull() & moment.isNull(),
-        "event_data": fields.payload_is_broken(F.col("event_data")),
-    }
-    counts = raw.groupBy(F.col(day).alias("event_date")).agg(*[F.count_if(t).alias(c) for c, t in tests.items()])
-    pairs = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).alias("n")) for c in tests])
-    return (
-        counts.select("event_date", F.explode(pairs).alias("p"))
-        .where("p.n > 0")
-        .select(*_labels("R14_column_type", "WARNING", "column_type"), "event_date", "p.key", "p.n")
-    )
-
-
 def contract_violations(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
     """(rule, severity, code, event_date, key, n) over all rules."""
     parts = [
-        missing_columns(raw, day, contract),
-        drifted_days(raw, day, contract),
-        null_identity_days(raw, day, contract),
+        day_violations(raw, day, contract),
         row_violations(raw, day, contract),
         repeated_rows(raw, day),
         repeated_transactions(raw, day),
-        unbacked_checkouts(raw, day),
-        cast_failures(raw, day),
     ]
     return reduce(DataFrame.unionByName, parts)
 

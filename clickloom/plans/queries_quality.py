@@ -178,7 +178,7 @@ def _with_ingest(x: Inputs):
 
 @query("r1_required_columns", R1)
 def _(x):
-    return contract.missing_columns(x.raw)
+    return contract.day_violations(x.raw).where(F.col("rule").startswith("R1_"))
 
 
 _rule("r2_malformed_timestamp", R2, "R2_", _text_time)
@@ -186,7 +186,7 @@ _rule("r2_malformed_timestamp", R2, "R2_", _text_time)
 
 @query("r3_null_identity", R3)
 def _(x):
-    return contract.null_identity_days(x.raw)
+    return contract.day_violations(x.raw).where(F.col("rule").startswith("R3_"))
 
 
 _rule("r4_payload_required", union(R4_EMPTY, R4_JSON), "R4_")
@@ -207,7 +207,7 @@ def _(x):
 
 @query("r10_purchase_follows_checkout", R10)
 def _(x):
-    return contract.unbacked_checkouts(x.raw)
+    return contract.day_violations(x.raw).where(F.col("rule").startswith("R10_"))
 
 
 _rule("r11_revenue_positive", R11, "R11_")
@@ -223,7 +223,7 @@ def _(x):
 
 @query("r14_column_types", union(R14_JSON, R14_TIME))
 def _(x):
-    return contract.cast_failures(_text_time(x))
+    return contract.day_violations(_text_time(x)).where(F.col("rule").startswith("R14_"))
 
 
 @query("r0_contract_violations", union(R1, P3, R3, *ROW_RULES, R8, R9, R10, R14_JSON))
@@ -233,7 +233,7 @@ def _(x):
 
 @query("p3_drifted_days", P3)
 def _(x):
-    return contract.drifted_days(x.raw)
+    return contract.day_violations(x.raw).where(F.col("rule").startswith("P3_"))
 
 
 # ----------------------------------------------------------------------------- monitor
