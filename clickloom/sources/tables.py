@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +20,10 @@ GOLD_SCHEMA = (
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``.  Only where that is unset, as in a local
-    test, is a temporary folder of this machine used.
+    It lies under ``spark.checkpoint.dir``, or in the warehouse where that is unset; a
+    cluster shares both.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="clickloom-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
