@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the modules registers them."""
 
-from clickloom.llm import exact_dedup, packing, substrings
+from clickloom.llm import exact_dedup, packing, substrings, suffix_tree
 from clickloom.llm.queries import COMPARISONS, QUERIES
 
-__all__ = ["COMPARISONS", "QUERIES", "exact_dedup", "packing", "substrings"]
+__all__ = ["COMPARISONS", "QUERIES", "exact_dedup", "packing", "substrings", "suffix_tree"]

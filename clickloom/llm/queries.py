@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickloom.session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 COMPARISONS: dict[str, str] = {}
 
@@ -14,7 +16,11 @@ def query(name: str, sql: str | None = None):
     """Register a function of (spark, folder of tables)."""
 
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = build
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             COMPARISONS[name] = sql
         return build

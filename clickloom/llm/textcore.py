@@ -122,3 +122,13 @@ def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
 def lists(values: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column from flat values and each row's first index."""
     return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values, kind))
+
+
+def span_strings(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
+    """The bytes of each span as a string column."""
+    size = stop - start
+    offsets = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=offsets[1:])
+    at = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], size)
+    out = np.ascontiguousarray(data[at])
+    return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out))
