@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the modules registers them."""
 
-from clickloom.llm import exact_dedup, language, packing, substrings, suffix_tree, url_filter
+from clickloom.llm import exact_dedup, language, near_duplicates, packing, substrings, suffix_tree, url_filter
 from clickloom.llm.queries import COMPARISONS, QUERIES
 
-__all__ = ["COMPARISONS", "QUERIES", "exact_dedup", "language", "packing", "substrings", "suffix_tree", "url_filter"]
+__all__ = ["COMPARISONS", "QUERIES", "exact_dedup", "language", "near_duplicates", "packing", "substrings", "suffix_tree", "url_filter"]
