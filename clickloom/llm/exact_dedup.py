@@ -84,6 +84,31 @@ def exact_duplicates(docs: DataFrame, fan_in: int = 16) -> DataFrame:
     )
 
 
+def without_copies(docs: DataFrame, fan_in: int = 16) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that stay.
+
+    A row stays if it has its group's id and length; of rows that agree in both, one does.
+    """
+    own = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__text": F.coalesce(F.col("text").cast("string"), F.lit(""))})
+    own = own.withColumns({"__sha": F.sha2(normalised(F.col("__text")), 256), "__chars": F.length("__text")})
+    runs = own.select(
+        F.spark_partition_id().alias("run"), F.unhex("__sha").alias("sha"), F.lit(0).cast("long").alias("second"),
+        F.lit(0).alias("size"),
+        F.struct((-F.col("__chars")).alias("less"), F.col("__id").isNull().alias("none"), F.col("__id").alias("id")).alias("best"),
+        F.lit(1).cast("long").alias("group_size"),
+    )
+    runs = written(runs, "digest-runs")
+    last = runs.agg(F.max("run")).first()[0] or 0
+    groups = merge_runs(runs, last + 1, fan_in).select(
+        F.lower(F.hex("sha")).alias("of_sha"), F.col("best.id").alias("of_id"), (-F.col("best.less")).alias("of_chars")
+    )
+    stays = (
+        (own["__sha"] == groups["of_sha"]) & own["__id"].eqNullSafe(groups["of_id"]) & (own["__chars"] == groups["of_chars"])
+    )
+    kept = own.join(groups, stays, "left_semi").dropDuplicates(["__sha"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,

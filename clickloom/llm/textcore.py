@@ -75,7 +75,11 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 
 def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, stop) of every word, and the index of each row's first word (one more entry than rows)."""
-    solid = ~WHITE[data]
+    return spans(~WHITE[data], starts)
+
+
+def spans(solid: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of every stretch of solid bytes within a row."""
     rows = starts[:-1][starts[:-1] < starts[1:]]
     begin, last = solid.copy(), solid.copy()
     begin[1:] &= ~solid[:-1]
