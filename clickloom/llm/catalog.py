@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the modules registers them."""
 
-from clickloom.llm import decontamination, exact_dedup, language, near_duplicates, packing, substrings, suffix_tree, url_filter
+from clickloom.llm import chat, decontamination, exact_dedup, language, near_duplicates, packing, substrings, suffix_tree, url_filter, warc
 from clickloom.llm.queries import COMPARISONS, QUERIES
 
-__all__ = ["COMPARISONS", "QUERIES", "decontamination", "exact_dedup", "language", "near_duplicates", "packing", "substrings", "suffix_tree", "url_filter"]
+__all__ = ["COMPARISONS", "QUERIES", "chat", "decontamination", "exact_dedup", "language", "near_duplicates", "packing", "substrings", "suffix_tree", "url_filter", "warc"]
