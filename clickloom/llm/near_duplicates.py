@@ -139,8 +139,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return found.select("member", "text").mapInArrow(run, "member long, shingles array<long>").dropDuplicates(["member"])
 
 
-def block_links(threshold: float, trees: int):
-    """Links between two blocks of a trie node, or within one."""
+def block_links(threshold: float, pairs: bool):
+    """Links between two blocks of a trie node, or within one.
+
+    Either all pairs, or of every member how many rows it is linked to and the smallest
+    member it reaches: one row a member, however many links a block has.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("member")
@@ -170,14 +174,29 @@ def block_links(threshold: float, trees: int):
         for t in range(tree):
             ok &= nodes[left, t][:, None] != nodes[right, t][None, :]
         i, j = np.nonzero(ok)
-        x, y = member[left[i]], member[right[j]]
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "jaccard": likeness[i, j].astype(float)})
+        if pairs:
+            x, y = member[left[i]], member[right[j]]
+            return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "jaccard": likeness[i, j].astype(float)})
+        copies = rows["copies"].to_numpy(np.int64)
+        linked, label = np.zeros(len(rows), np.int64), np.arange(len(rows))
+        np.add.at(linked, left, ok @ copies[right])
+        np.add.at(linked, right, ok.T @ copies[left])
+        while True:  # smallest line reachable within the block; lines are in order of members
+            new = label.copy()
+            np.minimum.at(new, left[i], label[right[j]])
+            np.minimum.at(new, right[j], label[left[i]])
+            new = np.minimum(new, new[new])
+            if (new == label).all():
+                break
+            label = new
+        met = linked > 0
+        return pd.DataFrame({"member": member[met], "root": member[label[met]], "linked": linked[met]})
 
     return run
 
 
-def class_links(docs: DataFrame, classes: DataFrame, size: int, threshold: float, trees: int) -> DataFrame:
-    """(a, b, jaccard) of classes, each pair once."""
+def class_links(docs: DataFrame, classes: DataFrame, size: int, threshold: float, pairs: bool = False) -> DataFrame:
+    """Of every block (member, root, linked), or all pairs of classes (a, b, jaccard), each once."""
     node = classes.where("n > 0").select("member", F.posexplode("nodes").alias("tree", "node"))
     full = (
         node.groupBy("tree", "node")
@@ -199,12 +218,15 @@ def class_links(docs: DataFrame, classes: DataFrame, size: int, threshold: float
     )
     placed = written(placed, "node-members")
     wanted = placed.select("member").distinct()
-    wanted = wanted.join(classes.select("member", "of_doc", "of_print", "nodes"), "member")
-    sets = sets_of(docs, wanted.drop("nodes"), size).join(wanted.select("member", "nodes"), "member")
+    wanted = wanted.join(classes.select("member", "of_doc", "of_print", "nodes", "copies"), "member")
+    sets = sets_of(docs, wanted.drop("nodes", "copies"), size).join(wanted.select("member", "nodes", "copies"), "member")
     return (
         placed.join(sets, "member")
         .groupBy("tree", "node", "left", "right")
-        .applyInPandas(block_links(threshold, trees), "a long, b long, jaccard double")
+        .applyInPandas(
+            block_links(threshold, pairs),
+            "a long, b long, jaccard double" if pairs else "member long, root long, linked long",
+        )
     )
 
 
@@ -231,6 +253,24 @@ def groups_of(links: DataFrame) -> DataFrame:
             return labels
 
 
+def set_classes(docs: DataFrame, size: int, trees: int, depth: int, target: float, threshold: float):
+    """Signed rows and the classes of equal sets, both written."""
+    length = prefix_length(threshold, trees, depth, target)
+    rows = written(signed(docs, size, trees, depth, length), "signatures")
+    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "print", "nodes")
+    classes = rows.groupBy("h1", "h2", "n").agg(F.min(best).alias("best"), F.count("*").alias("copies"))
+    classes = classes.select(
+        "h1", "h2", "n", "copies", F.col("best.row").alias("member"), F.col("best.doc_id").alias("of_doc"),
+        F.col("best.print").alias("of_print"), F.col("best.nodes").alias("nodes"),
+    )
+    return rows, written(classes, "set-classes")
+
+
+def printed(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
+    return id_and_text(docs).withColumn("print", F.xxhash64("text"))
+
+
 def near_duplicates(
     docs: DataFrame,
     size: int = SIZE,
@@ -238,52 +278,50 @@ def near_duplicates(
     trees: int = TREES,
     depth: int = DEPTH,
     target: float = TARGET,
-) -> tuple[DataFrame, DataFrame]:
-    """Members and links.
+) -> DataFrame:
+    """(row, doc_id, print, n_shingles, set_id, class_id, n_links), one per input row.
 
-    Members, one per input row: (row, doc_id, print, n_shingles, set_id, class_id, n_links).
     ``set_id`` is the smallest id of equal sets, ``class_id`` that of all documents linked
     directly or through others, ``n_links`` the number of other rows this one is linked to,
-    copies of its own set included.  Links: (a, b, jaccard) between set ids.
+    copies of its own set included.
     """
-    small_batches(docs.sparkSession)
-    docs = id_and_text(docs).withColumn("print", F.xxhash64("text"))
-    length = prefix_length(threshold, trees, depth, target)
-    rows = written(signed(docs, size, trees, depth, length), "signatures")
-    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "print", "nodes")
-    classes = rows.groupBy("h1", "h2", "n").agg(F.min(best).alias("best"), F.count("*").alias("copies"))
-    classes = written(
-        classes.select(
-            "h1", "h2", "n", "copies", F.col("best.row").alias("member"), F.col("best.doc_id").alias("of_doc"),
-            F.col("best.print").alias("of_print"), F.col("best.nodes").alias("nodes"),
-        ),
-        "set-classes",
-    )
-    links = written(class_links(docs, classes, size, threshold, trees), "links")
-    copies = classes.select("member", "copies")
-    partners = (
-        links.select("a", "b").union(links.select("b", "a"))
-        .join(copies.withColumnRenamed("member", "b"), "b").groupBy("a").agg(F.sum("copies").alias("linked"))
-        .withColumnRenamed("a", "member")
-    )
-    labels = groups_of(links)
+    docs = printed(docs)
+    rows, classes = set_classes(docs, size, trees, depth, target, threshold)
+    found = written(class_links(docs, classes, size, threshold), "links")
+    partners = found.groupBy("member").agg(F.sum("linked").alias("linked"))
+    labels = groups_of(found.where("member <> root").select(F.col("member").alias("a"), F.col("root").alias("b")))
     known = classes.join(labels, "member", "left").join(partners, "member", "left")
     known = known.withColumn("label", F.coalesce("label", "member")).select(
-        "h1", "h2", "n", "of_doc", "label", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
-    )
+        "h1", "h2", "n", "of_doc", "label",
+        F.when(F.col("n") > 0, F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).otherwise(0).alias("n_links"),
+    )
     smallest = known.groupBy("label").agg(F.min("of_doc").alias("class_id"))
     known = written(known.join(smallest, "label"), "classes")
-    members = rows.join(known, ["h1", "h2", "n"]).select(
+    return rows.join(known, ["h1", "h2", "n"]).select(
         "row", "doc_id", "print", F.col("n").alias("n_shingles"), F.col("of_doc").alias("set_id"), "class_id", "n_links"
     )
-    ids = classes.select(F.col("member"), F.col("of_doc"))
+
+
+def linked_pairs(
+    docs: DataFrame,
+    size: int = SIZE,
+    threshold: float = THRESHOLD,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    target: float = TARGET,
+) -> DataFrame:
+    """(a, b, jaccard) of set ids: every link between different sets, as many rows as there are."""
+    docs = printed(docs)
+    _, classes = set_classes(docs, size, trees, depth, target, threshold)
+    links = class_links(docs, classes, size, threshold, pairs=True)
+    ids = classes.select("member", "of_doc")
     named = links.join(ids.toDF("a", "set_a"), "a").join(ids.toDF("b", "set_b"), "b")
-    return members, named.select(F.col("set_a").alias("a"), F.col("set_b").alias("b"), "jaccard")
+    return named.select(F.col("set_a").alias("a"), F.col("set_b").alias("b"), "jaccard")
 
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that are first of their class: smallest id, then row."""
-    members, _ = near_duplicates(docs, **options)
+    members = near_duplicates(docs, **options)
     first = (
         members.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
         .groupBy("class_id", F.when(F.col("n_shingles") == 0, F.col("row")).alias("alone"))
@@ -301,5 +339,5 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 @query("op1_ngram_jaccard_join")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members, _ = near_duplicates(table(spark, sf_dir, "documents"))
+    members = near_duplicates(table(spark, sf_dir, "documents"))
     return members.select("doc_id", "class_id", "set_id", "n_links")
