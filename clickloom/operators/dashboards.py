@@ -23,9 +23,9 @@ def since(column: str, as_of, **ago: int) -> Column:
     return F.col(column) >= moment_of(as_of) - F.expr(f"INTERVAL {count} {unit.upper()}")
 
 
-def daily_revenue(gold: DataFrame, as_of=None, days: int = 14) -> DataFrame:
+def daily_revenue(gold: DataFrame, as_of=None, days: int | None = 14) -> DataFrame:
     return (
-        gold.where(since("conversion_time", as_of, days=days))
+        gold.where(F.lit(True) if days is None else since("conversion_time", as_of, days=days))
         .groupBy(F.to_date("conversion_time").alias("day"))
         .agg(money_sum(F.col("revenue")).alias("revenue"))
         .orderBy("day")
@@ -39,9 +39,9 @@ def revenue_drops(gold: DataFrame, as_of=None, days: int = 14, limit: float = DR
     return daily.withColumn("change", change).where(F.col("change") < -limit)
 
 
-def channel_mix(gold: DataFrame, as_of=None, days: int = 7) -> DataFrame:
+def channel_mix(gold: DataFrame, as_of=None, days: int | None = 7) -> DataFrame:
     return (
-        gold.where(since("conversion_time", as_of, days=days))
+        gold.where(F.lit(True) if days is None else since("conversion_time", as_of, days=days))
         .groupBy(F.col("last_click_channel").alias("channel"))
         .agg(money_sum(F.col("revenue")).alias("revenue"))
         .orderBy(F.desc("revenue"), "channel")

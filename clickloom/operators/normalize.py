@@ -47,11 +47,15 @@ def fill_missing(events: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return events.withColumns({n: F.lit(None).cast("string") for n in absent}) if absent else events
 
 
+# Where a row came from is no part of it: a copy in another file is a copy.
+PROVENANCE = ("file", "header", "_corrupt_record", "ingest_date")
+
+
 def event_key(events: DataFrame) -> Column:
     """Tie-break between events of one instant: the event id, else a hash of the row."""
     if "event_id" in events.columns:
         return F.col("event_id")
-    return F.xxhash64(*[F.col(f"`{c}`") for c in events.columns if c != "header"])
+    return F.xxhash64(*[F.col(f"`{c}`") for c in events.columns if c not in PROVENANCE])
 
 
 def is_conversion(event_name: Column | None = None) -> Column:
@@ -59,16 +63,18 @@ def is_conversion(event_name: Column | None = None) -> Column:
 
 
 def stage_events(raw: DataFrame, settings: Settings = SQL) -> DataFrame:
-    """Staged events with a derived channel; rows without any identity are dropped.
+    """Staged events with a derived channel; rows without any identity are dropped, and unreadable lines.
 
     Narrow unless ``dedupe_rows`` is set, so column pruning and date filters on the
     result reach the scan.
     """
+    if "_corrupt_record" in raw.columns:
+        raw = raw.where(F.col("_corrupt_record").isNull())
     events = fill_missing(fold_aliases(raw), ("client_id", "referrer", "page_url", "event_data"))
     events = events.withColumn("event_ts", fields.instant(events, "timestamp", settings.bad_timestamp))
     events = events.withColumn("event_key", event_key(events))
     if settings.dedupe_rows:
-        identity = [c for c in events.columns if c not in ("timestamp", "event_key", "header")]
+        identity = [c for c in events.columns if c not in ("timestamp", "event_key", *PROVENANCE)]
         events = events.dropDuplicates(identity)
     channel = (
         channel_by_tags(F.col("utm_medium"), F.col("referrer_host"))

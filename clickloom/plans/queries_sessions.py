@@ -256,14 +256,14 @@ def _(x):
 def _(x):
     from clickloom.operators.dashboards import daily_revenue
 
-    return daily_revenue(x.gold(), "2024-01-31", days=60)
+    return daily_revenue(x.gold(), days=None)
 
 
 @query("a24_channel_mix", f"SELECT last_click_channel AS channel, {_money()} AS revenue FROM gold GROUP BY 1")
 def _(x):
     from clickloom.operators.dashboards import channel_mix
 
-    return channel_mix(x.gold(), "2024-01-31", days=60)
+    return channel_mix(x.gold(), days=None)
 
 
 @query("a26_bad_row_counts", """

@@ -83,3 +83,13 @@ def test_partition_overwrite_is_repeatable(spark, tmp_path):
     ids = sorted(r.id for r in spark.read.parquet(path).collect())
     assert ids == [0, 2, 3, 5, 6, 8, 9, 101, 104, 107]
     assert os.path.isdir(f"{path}/event_date=2025-01-02")
+
+
+def test_a_copy_in_another_file_is_a_copy_and_unreadable_lines_are_not_staged(spark):
+    from clickloom.config import PANDAS
+    from clickloom.operators.normalize import stage_events
+
+    columns = "file string, client_id string, timestamp string, event_name string, page_url string, referrer string, event_data string, _corrupt_record string"
+    row = ("u1", "2025-03-01T10:00:00Z", "page_viewed", "https://s/p", None, None)
+    rows = [("a.csv", *row, None), ("b.csv", *row, None), ("b.csv", "u2", None, None, None, None, None, "u2,")]
+    assert [r.user_id for r in stage_events(spark.createDataFrame(rows, columns), PANDAS).collect()] == ["u1"]
