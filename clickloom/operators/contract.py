@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import fields
 from clickloom.operators.duplicates import duplicate_rows, duplicate_transactions
-from clickloom.operators.normalize import ALIASES, fill_missing, fold_aliases, is_conversion
+from clickloom.operators.monitor import VOLUME_DAYS, VOLUME_DEVIATION
+from clickloom.operators.normalize import ALIASES, PROVENANCE, fill_missing, fold_aliases, is_conversion
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,8 @@ EVENT_RULES = {
 NULL_WARNING = 0.05
 NULL_CRITICAL = 0.2
 INGEST_DAYS = 3
+FILE_DAY = r"(\d{8})\.csv"
+TRANSACTION_KEYS = ("transaction_id",)
 NOTIFY_CODES = (
     "schema_drift", "high_client_id_nulls", "missing_event_payloads", "duplicate_transaction",
     "malformed_timestamp", "volume_anomaly",
@@ -53,6 +56,7 @@ class Contract:
     null_warning: float = NULL_WARNING
     critical_null_rate: float = NULL_CRITICAL
     ingest_days: int = INGEST_DAYS
+    transaction_keys: tuple[str, ...] = TRANSACTION_KEYS
 
 
 DEFAULT = Contract()
@@ -79,12 +83,23 @@ def _finding(rule: str, severity: str, code: str, key: Column | str) -> Column:
     )
 
 
+def ingest_day(events: DataFrame) -> Column | None:
+    """The day an event was delivered: ``ingest_date``, else the day in its file's name; None if neither is known."""
+    if "ingest_date" in events.columns:
+        return F.to_date("ingest_date")
+    if "file" in events.columns:
+        return F.try_to_timestamp(F.regexp_extract("file", FILE_DAY, 1), F.lit("yyyyMMdd")).cast("date")
+    return None
+
+
 def row_findings(events: DataFrame, contract: Contract = DEFAULT) -> Column:
     """Array of findings for one raw event; empty for a clean one."""
     payload = F.col("event_data")
+    # Keys of an object; NULL for a missing payload, broken JSON and JSON that is no object.
     keys = F.json_object_keys(F.when(~fields.payload_is_broken(payload), payload))
+    nothing = F.array().cast("array<string>")
     moment = fields.instant(events, "timestamp")
-    bare = F.coalesce(F.trim(payload), F.lit("")).isin("", "{}")
+    bare = (F.trim(F.coalesce(payload, F.lit(""))) == "") | F.coalesce(F.size(keys) == 0, F.lit(False))
     revenue = F.get_json_object(payload, "$.revenue")
     amount = F.coalesce(*[F.get_json_object(payload, f"$.{k}") for k in ("revenue", "value", "total")])
     number = fields.as_number(amount)
@@ -98,7 +113,7 @@ def row_findings(events: DataFrame, contract: Contract = DEFAULT) -> Column:
             _finding("R4_payload_empty", "WARNING", "missing_event_payloads", F.col("event_name")),
         ),
         (
-            fields.payload_is_broken(payload),
+            payload.isNotNull() & keys.isNull(),
             _finding("R4_payload_json", "CRITICAL", "missing_event_payloads", F.col("event_name")),
         ),
         (
@@ -112,8 +127,9 @@ def row_findings(events: DataFrame, contract: Contract = DEFAULT) -> Column:
             _finding("R11_revenue_positive", "CRITICAL", "revenue_not_positive", "revenue"),
         ),
     ]
-    if "ingest_date" in events.columns:
-        apart = F.abs(F.datediff(F.to_date(moment), F.col("ingest_date")))
+    arrived = ingest_day(events)
+    if arrived is not None:
+        apart = F.abs(F.datediff(F.to_date(moment), arrived))
         single.append(
             (
                 apart > contract.ingest_days,
@@ -121,9 +137,8 @@ def row_findings(events: DataFrame, contract: Contract = DEFAULT) -> Column:
             )
         )
     fixed = F.array(*[F.when(test, finding) for test, finding in single])
-    required = F.array_except(_lookup(contract, lambda r: r.required), keys)
+    required = F.array_except(_lookup(contract, lambda r: r.required), F.coalesce(keys, nothing))
     unknown = F.array_except(keys, _lookup(contract, lambda r: r.required + r.optional))
-    nothing = F.array().cast("array<string>")
     absent = F.transform(
         F.coalesce(required, nothing), lambda k: _finding("R5_required_key", "CRITICAL", "missing_key", k)
     )
@@ -192,6 +207,7 @@ def day_violations(raw: DataFrame, day: str = "event_date", contract: Contract =
     R3: too many events without identity; above the critical rate ingestion fails.
     R10: more completed than started checkouts; n is the excess.
     R14: values that do not fit the declared column type.
+    R15: a row count far from the mean of the days with data before it.
     """
 
     def found(test: Column, rule: str, severity: Column | str, code: str, key: str, n: Column) -> Column:
@@ -202,6 +218,8 @@ def day_violations(raw: DataFrame, day: str = "event_date", contract: Contract =
     def above_zero(column: str) -> tuple[Column, Column]:
         return F.col(column) > 0, F.col(column)
 
+    # NULL sorts first; ordering the flag puts the rows without a day last.
+    before = Window.orderBy(F.col("event_date").isNull(), "event_date").rowsBetween(-VOLUME_DAYS, -1)
     rate = F.try_divide(F.col("null_ids"), F.col("total"))
     excess = F.col("completed") - F.col("started")
     findings = [
@@ -225,11 +243,16 @@ def day_violations(raw: DataFrame, day: str = "event_date", contract: Contract =
     findings.append(
         found(excess > 0, "R10_purchase_follows_checkout", "CRITICAL", "checkout_mismatch", "checkout_completed", excess)
     )
+    usual = F.col("usual_total")
+    odd = (F.col("total") < usual * (1 - VOLUME_DEVIATION)) | (F.col("total") > usual * (1 + VOLUME_DEVIATION))
+    findings.append(found(odd, "R15_volume", "WARNING", "volume_anomaly", "rows", F.col("total")))
     for column in ("timestamp", "event_data"):
         test, n = above_zero(f"bad_{column}")
         findings.append(found(test, "R14_column_type", "WARNING", "column_type", column, n))
     return (
         day_profile(raw, day, contract)
+        # The window is unpartitioned, but over one row per day; rows without a day have no place in it.
+        .withColumn("usual_total", F.when(F.col("event_date").isNotNull(), F.avg("total").over(before)))
         .select("event_date", F.explode(F.filter(F.array(*findings), lambda f: f.isNotNull())).alias("f"))
         .select("f.rule", "f.severity", "f.code", "event_date", "f.key", "f.n")
     )
@@ -237,7 +260,7 @@ def day_violations(raw: DataFrame, day: str = "event_date", contract: Contract =
 
 def repeated_rows(raw: DataFrame, day: str = "event_date") -> DataFrame:
     """R8: exact copies per day."""
-    columns = [c for c in raw.columns if c not in (day, "header")]
+    columns = [c for c in raw.columns if c not in (day, *PROVENANCE)]
     return duplicate_rows(raw, day, columns).select(
         *_labels("R8_duplicate_row", "WARNING", "duplicate_row"),
         F.col(day).alias("event_date"),
@@ -246,9 +269,9 @@ def repeated_rows(raw: DataFrame, day: str = "event_date") -> DataFrame:
     )
 
 
-def repeated_transactions(raw: DataFrame, day: str = "event_date") -> DataFrame:
+def repeated_transactions(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
     """R9: events per day and transaction, for transactions seen more than once."""
-    return duplicate_transactions(raw, day).select(
+    return duplicate_transactions(raw, day, contract.transaction_keys).select(
         *_labels("R9_duplicate_transaction", "CRITICAL", "duplicate_transaction"),
         F.col(day).alias("event_date"),
         F.col("transaction").alias("key"),
@@ -262,7 +285,7 @@ def contract_violations(raw: DataFrame, day: str = "event_date", contract: Contr
         day_violations(raw, day, contract),
         row_violations(raw, day, contract),
         repeated_rows(raw, day),
-        repeated_transactions(raw, day),
+        repeated_transactions(raw, day, contract),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -36,23 +36,27 @@ def duplicate_rows(events: DataFrame, by: str, columns: Sequence[str]) -> DataFr
     )
 
 
-def payload_transactions(events: DataFrame, *keep: str) -> DataFrame:
+# The report takes the order id where there is no transaction id.
+REPORT_KEYS = ("transaction_id", "order_id")
+
+
+def payload_transactions(events: DataFrame, *keep: str, keys: Sequence[str] = REPORT_KEYS) -> DataFrame:
     """(keep..., transaction): id of every conversion event that states one."""
     return (
         events.where(is_conversion())
-        .select(*keep, first_truthy(F.col("event_data"), ("transaction_id", "order_id")).alias("transaction"))
+        .select(*keep, first_truthy(F.col("event_data"), keys).alias("transaction"))
         .where(F.col("transaction").isNotNull())
     )
 
 
-def duplicate_transactions(events: DataFrame, by: str) -> DataFrame:
+def duplicate_transactions(events: DataFrame, by: str, keys: Sequence[str] = REPORT_KEYS) -> DataFrame:
     """(transaction, by, occurrences): every place of a transaction seen more than once.
 
     Occurrences are counted per (transaction, place) before the totals, so a transaction
     repeated without end stays a handful of rows.
     """
     placed = (
-        payload_transactions(events, by)
+        payload_transactions(events, by, keys=keys)
         .groupBy("transaction", by)
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )

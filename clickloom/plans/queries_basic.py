@@ -148,12 +148,15 @@ def _(x):
     return table.select("user_id", "event_ts", "event_name", "revenue", "transaction_id", "utm_campaign", "event_date")
 
 
-KEYS = "json_keys(CASE WHEN json_valid(event_data) THEN event_data END)"
-CRITICAL_ROW = f"""(event_data IS NOT NULL AND NOT json_valid(event_data))
-  OR (event_name = 'checkout_completed' AND json_valid(event_data)
+# What the contract asks of a payload: an object with the keys its event requires.
+KEYS = "coalesce(json_keys(CASE WHEN json_valid(event_data) THEN event_data END), [])"
+NO_OBJECT = "(event_data IS NOT NULL AND coalesce(json_type(CASE WHEN json_valid(event_data) THEN event_data END), '') <> 'OBJECT')"
+CRITICAL_ROW = f"""{NO_OBJECT}
+  OR (event_name = 'checkout_completed'
       AND (NOT list_contains({KEYS}, 'revenue') OR NOT list_contains({KEYS}, 'transaction_id')
         OR TRY_CAST(coalesce({json_text("revenue")}, {json_text("value")}, {json_text("total")}) AS DOUBLE) <= 0))
-  OR (event_name = 'product_added_to_cart' AND NOT contains(event_data, 'item_name'))"""
+  OR (event_name = 'product_added_to_cart' AND NOT (list_contains({KEYS}, 'item_id') AND list_contains({KEYS}, 'item_name')))
+  OR (event_name = 'checkout_started' AND NOT list_contains({KEYS}, 'step'))"""
 
 
 @query("s13_zone_routing", f"""

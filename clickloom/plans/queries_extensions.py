@@ -169,10 +169,10 @@ LENIENT = contract.Contract(
 
 @query("x11_quarantine_replay", f"""
 SELECT zone, count(*) AS n FROM (
-  SELECT CASE WHEN {CRITICAL_ROW.replace("NOT list_contains(" + KEYS + ", 'revenue') OR ", "")} THEN 'quarantine' ELSE 'clean' END AS zone
-  FROM once WHERE {CRITICAL_ROW}) GROUP BY 1""")
+  SELECT CASE WHEN copy > 1 OR {CRITICAL_ROW.replace("NOT list_contains(" + KEYS + ", 'revenue') OR ", "")} THEN 'quarantine' ELSE 'clean' END AS zone
+  FROM (SELECT *, row_number() OVER (PARTITION BY event_id) AS copy FROM raw) WHERE copy > 1 OR {CRITICAL_ROW}) GROUP BY 1""")
 def _(x):
-    held = quarantine.route(x.raw).where("zone = 'quarantine' AND NOT array_contains(reasons, 'R8_duplicate_row')")
+    held = quarantine.route(x.raw).where("zone = 'quarantine'")
     return quarantine.replay(held, LENIENT).groupBy("zone").agg(F.sum("rows").alias("n"))
 
 

@@ -9,7 +9,7 @@ from clickloom.operators import checks, contract, dashboards, metrics, monitor,
 from clickloom.operators.attribution import match_sessions
 from clickloom.operators.conversions import conversions
 from clickloom.plans.comparison_sql import BUYS, first_nonzero, json_text
-from clickloom.plans.queries_basic import FILE_NAME, KEYS
+from clickloom.plans.queries_basic import FILE_NAME, KEYS, NO_OBJECT
 from clickloom.plans.queries_sessions import BREAKDOWN, TRANSACTION
 from clickloom.plans.registry import Inputs, query
 
@@ -102,7 +102,6 @@ def finding(rule: str, severity: str, code: str, key: str, n: str, source: str)
       CAST({n} AS BIGINT) AS n {source}"""
 
 
-SAFE = "CASE WHEN json_valid(event_data) THEN event_data END"
 REQUIRED = """CASE event_name WHEN 'checkout_completed' THEN ['transaction_id', 'revenue'] WHEN 'purchase' THEN ['transaction_id', 'revenue']
   WHEN 'product_added_to_cart' THEN ['item_id', 'item_name'] WHEN 'checkout_started' THEN ['step'] WHEN 'page_viewed' THEN CAST([] AS VARCHAR[]) END"""
 ALLOWED = """CASE event_name WHEN 'checkout_completed' THEN ['transaction_id', 'revenue', 'currency', 'items', 'coupon']
@@ -125,14 +124,15 @@ R3 = finding("R3_null_identity", "CASE WHEN nulls / total > 0.2 THEN 'CRITICAL'
              count(*) FILTER (WHERE cid_old IS NULL AND cid_new IS NULL) AS nulls FROM raw GROUP BY 1)
              WHERE nulls / total > 0.05""")
 R4_EMPTY = finding("R4_payload_empty", "'WARNING'", "missing_event_payloads", "event_name", "count(*)",
-                   "FROM raw WHERE coalesce(event_data, '') IN ('', '{}') AND event_name <> 'page_viewed' GROUP BY event_date, event_name")
+                   f"FROM raw WHERE (trim(coalesce(event_data, '')) = '' OR (NOT {NO_OBJECT} AND len({KEYS}) = 0)) "
+                   "AND event_name <> 'page_viewed' GROUP BY event_date, event_name")
 R4_JSON = finding("R4_payload_json", "'CRITICAL'", "missing_event_payloads", "event_name", "count(*)",
-                  "FROM raw WHERE event_data IS NOT NULL AND NOT json_valid(event_data) GROUP BY event_date, event_name")
+                  f"FROM raw WHERE {NO_OBJECT} GROUP BY event_date, event_name")
 R5 = finding("R5_required_key", "'CRITICAL'", "missing_key", "key", "count(*)", f"""FROM (
-  SELECT event_date, unnest(list_filter({REQUIRED}, lambda k: NOT list_contains(json_keys({SAFE}), k))) AS key FROM raw)
+  SELECT event_date, unnest(list_filter({REQUIRED}, lambda k: NOT list_contains({KEYS}, k))) AS key FROM raw)
   GROUP BY event_date, key""")
 R6 = finding("R6_unknown_key", "'INFO'", "unknown_key", "key", "count(*)", f"""FROM (
-  SELECT event_date, unnest(list_filter(json_keys({SAFE}), lambda k: NOT list_contains({ALLOWED}, k))) AS key FROM raw)
+  SELECT event_date, unnest(list_filter({KEYS}, lambda k: NOT list_contains({ALLOWED}, k))) AS key FROM raw)
   GROUP BY event_date, key""")
 R7 = finding("R7_revenue_numeric", "'CRITICAL'", "revenue_not_numeric", "'revenue'", "count(*)", f"""FROM raw
   WHERE event_name = 'checkout_completed' AND {json_text('revenue')} IS NOT NULL
@@ -142,7 +142,7 @@ R11 = finding("R11_revenue_positive", "'CRITICAL'", "revenue_not_positive", "'re
 R8 = finding("R8_duplicate_row", "'WARNING'", "duplicate_row", "CAST(NULL AS VARCHAR)", "count(*) - count(DISTINCT event_id)",
              "FROM raw GROUP BY event_date HAVING count(*) > count(DISTINCT event_id)")
 R9 = finding("R9_duplicate_transaction", "'CRITICAL'", "duplicate_transaction", "t", "count(*)", f"""FROM (
-  SELECT *, count(*) OVER (PARTITION BY t) AS seen FROM (SELECT event_date, {TRANSACTION} AS t FROM raw WHERE {BUYS})
+  SELECT *, count(*) OVER (PARTITION BY t) AS seen FROM (SELECT event_date, nullif({json_text('transaction_id')}, '') AS t FROM raw WHERE {BUYS})
   WHERE t IS NOT NULL) WHERE seen > 1 GROUP BY event_date, t""")
 R10 = finding("R10_purchase_follows_checkout", "'CRITICAL'", "checkout_mismatch", "'checkout_completed'", "c - s",
               """FROM (SELECT event_date, count(*) FILTER (WHERE event_name = 'checkout_completed') AS c,
@@ -153,6 +153,12 @@ R14_JSON = finding("R14_column_type", "'WARNING'", "column_type", "'event_data'"
                    "FROM raw WHERE event_data IS NOT NULL AND NOT json_valid(event_data) GROUP BY event_date")
 R14_TIME = finding("R14_column_type", "'WARNING'", "column_type", "'timestamp'", "count(*)", R2_SOURCE)
 
+R15 = finding("R15_volume", "'WARNING'", "volume_anomaly", "'rows'", "n", """FROM (SELECT event_date, n,
+  avg(n) OVER (ORDER BY event_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS usual FROM (
+    SELECT event_date, count(*) AS n FROM raw GROUP BY 1)) WHERE n < usual * 0.5 OR n > usual * 1.5""")
+R12_FILE = finding("R12_timestamp_range", "'WARNING'", "timestamp_out_of_range", "'timestamp'", "count(*)",
+                   "FROM raw WHERE event_id % 89 = 0 GROUP BY event_date")
+
 ROW_RULES = (R4_EMPTY, R4_JSON, R5, R6, R7, R11)
 
 
@@ -171,6 +177,21 @@ def _text_time(x: Inputs):
     return x.raw.withColumn("timestamp", F.when(F.col("event_id") % 101 == 3, "soon").otherwise(text))
 
 
+def _late_files(x: Inputs):
+    """Every 89th event arrives four days late, in the file of that day."""
+    late = F.when(F.col("event_id") % 89 == 0, 4).otherwise(0)
+    return x.raw.withColumn("file", F.date_format(F.date_add("event_date", late), "'events_'yyyyMMdd'.csv'"))
+
+
+# A day of three times the events.
+TRIPLED = "SELECT * FROM raw UNION ALL SELECT raw.* FROM raw, range(2) WHERE event_date = DATE '2024-01-18'"
+
+
+def _tripled(x: Inputs):
+    times = F.when(F.col("event_date") == "2024-01-18", 3).otherwise(1)
+    return x.raw.withColumn("again", F.explode(F.sequence(F.lit(1), times))).drop("again")
+
+
 def _with_ingest(x: Inputs):
     shift = (F.col("event_id") % 11 - 5).cast("int")
     return x.raw.withColumn("ingest_date", F.date_add("event_date", shift))
@@ -214,7 +235,7 @@ _rule("r11_revenue_positive", R11, "R11_")
 _rule("r12_timestamp_range", R12, "R12_", _with_ingest)
 
 
-@query("r13_notifiable", f"""SELECT {FINDING} FROM ({union(R1, P3, R3, *ROW_RULES, R8, R9, R10, R14_JSON)})
+@query("r13_notifiable", f"""SELECT {FINDING} FROM ({union(R1, P3, R3, *ROW_RULES, R8, R9, R10, R14_JSON, R15)})
 WHERE code IN ('schema_drift', 'high_client_id_nulls', 'missing_event_payloads', 'duplicate_transaction',
   'malformed_timestamp', 'volume_anomaly') AND severity IN ('WARNING', 'CRITICAL')""")
 def _(x):
@@ -226,9 +247,14 @@ def _(x):
     return contract.day_violations(_text_time(x)).where(F.col("rule").startswith("R14_"))
 
 
-@query("r0_contract_violations", union(R1, P3, R3, *ROW_RULES, R8, R9, R10, R14_JSON))
+@query("r0_contract_violations", union(R1, P3, R3, *ROW_RULES, R8, R9, R10, R12_FILE, R14_JSON, R15))
+def _(x):
+    return contract.contract_violations(_late_files(x))
+
+
+@query("r15_volume_anomaly", R15.replace("raw", f"({TRIPLED})"))
 def _(x):
-    return contract.contract_violations(x.raw)
+    return contract.day_violations(_tripled(x)).where("rule = 'R15_volume'")
 
 
 @query("p3_drifted_days", P3)

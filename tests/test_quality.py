@@ -143,3 +143,42 @@ def test_quarantine_and_replay(spark):
     assert [r.zone for r in replay(held).collect()] == ["quarantine"]
     repaired = held.withColumn("event_data", F.lit("{}"))
     assert [r.zone for r in replay(repaired).collect()] == ["clean"]
+
+
+def test_a_repeat_stays_held_on_replay(spark):
+    good = raw_row("u", "2025-03-01T00:00:00Z", "page_viewed")
+    bad = raw_row("u", "2025-03-01T00:00:00Z", "page_viewed", payload="{]")
+    held = route(day([good, good, good, bad, bad], spark)).where("zone = 'quarantine'")
+    again = {(r.zone, tuple(r.reasons)): r["rows"] for r in replay(held).collect()}
+    assert again == {
+        ("quarantine", ("R8_duplicate_row",)): 2,
+        ("quarantine", ("R4_payload_json",)): 1,
+        ("quarantine", ("R4_payload_json", "R8_duplicate_row")): 1,
+    }
+
+
+def test_payloads_without_the_required_keys_are_held(spark):
+    when = "2025-03-01T00:00:00Z"
+    rows = [raw_row(str(i), when, "purchase", payload=p) for i, p in enumerate((None, "[1]", "{ }", " ", "{]", "3"))]
+    sound = raw_row("s", when, "purchase", payload='{"transaction_id":"T","revenue":1}')
+    assert {r.client_id: r.zone for r in route(day([*rows, sound], spark)).collect()} == {
+        **dict.fromkeys("012345", "quarantine"), "s": "clean"}
+    found = rules(contract.row_violations(day(rows, spark)))
+    assert found["R4_payload_empty", "purchase"] == ("WARNING", 3)
+    assert found["R4_payload_json", "purchase"] == ("CRITICAL", 4)
+    assert found["R5_required_key", "revenue"] == ("CRITICAL", 6)
+
+
+def test_order_ids_are_no_transactions_of_the_contract(spark):
+    rows = [raw_row("u", "2025-03-01T00:00:00Z", "purchase", payload='{"order_id":"O"}')] * 2
+    assert contract.repeated_transactions(day(rows, spark)).count() == 0
+
+
+def test_range_and_volume(spark):
+    events = spark.sql("""
+        SELECT date_add(DATE '2025-03-01', day) AS event_date, concat('events_', date_format(date_add(DATE '2025-03-01', day), 'yyyyMMdd'), '.csv') AS file,
+          if(day = 2 AND n = 0, '2025-03-09T00:00:00Z', concat('2025-03-0', day + 1, 'T00:00:00Z')) AS timestamp,
+          'u' AS client_id, 'page_viewed' AS event_name, '{}' AS event_data, CAST(n AS STRING) AS page_url
+        FROM (SELECT CAST(id AS INT) AS day, explode(sequence(0, if(id = 3, 30, 9))) AS n FROM range(4))""")
+    found = {(r.rule, str(r.event_date), r.n) for r in contract.contract_violations(events).where("rule LIKE 'R12%' OR rule LIKE 'R15%'").collect()}
+    assert found == {("R12_timestamp_range", "2025-03-03", 1), ("R15_volume", "2025-03-04", 31)}
