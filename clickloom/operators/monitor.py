@@ -130,7 +130,7 @@ def _business_alerts() -> list[Column]:
     paid = F.coalesce("paid_revenue", F.lit(0.0))
     share = F.try_divide(F.col("unattributed_revenue"), total)
     zero = F.format_string("Total Revenue is $0.00 for %s", F.col("check_date").cast("string"))
-    blind = F.concat(F.lit("Total Rev is $"), F.format_number(total, 0), F.lit(" but Paid Channel Rev is $0."))
+    blind = F.concat(F.lit("Total Rev is $"), F.format_number(total, 0), F.lit(" but Paid Channel Rev is $0. Check UTM parsing."))
     return [
         F.when(total == 0, _alert("P0", "ZERO_REVENUE", zero)),
         F.when(
@@ -145,6 +145,17 @@ def _business_alerts() -> list[Column]:
     ]
 
 
+def every_day(days: DataFrame) -> DataFrame:
+    """One row for each day from the first to the last; days that are in no table have NULL everywhere else.
+
+    The window is unpartitioned, but over one row per day.
+    """
+    until = F.coalesce(F.date_sub(F.lead("check_date").over(Window.orderBy("check_date")), 1), "check_date")
+    filled = days.withColumn("until", until).withColumn("day", F.explode(F.sequence("check_date", "until")))
+    own = F.col("day") == F.col("check_date")
+    return filled.select(F.col("day").alias("check_date"), *[F.when(own, F.col(c)).alias(c) for c in days.columns if c != "check_date"])
+
+
 def checked_days(raw: DataFrame, gold: DataFrame, check_date: date | str | None = None) -> DataFrame:
     """(check_date, alerts): every checked date with its alerts, schema checks first.
 
@@ -161,7 +172,7 @@ def checked_days(raw: DataFrame, gold: DataFrame, check_date: date | str | None
         alerts = alerts + _business_alerts()
     tables = [t.withColumnRenamed("event_date", "check_date") for t in tables]
     if check_date == ALL_DATES and tables:
-        days = reduce(lambda a, b: a.join(b, "check_date", "full"), tables).where(F.col("check_date").isNotNull())
+        days = every_day(reduce(lambda a, b: a.join(b, "check_date", "full"), tables).where(F.col("check_date").isNotNull()))
     else:
         days = reduce(lambda a, b: a.join(b, "check_date", "left"), tables, dates_to_check(raw, gold, check_date))
     kept = F.filter(F.array(*alerts), lambda a: a.isNotNull()) if alerts else F.array()

@@ -130,16 +130,39 @@ def file_alerts(drift: Column, no_referrer: Column, null_rate: Column) -> Column
     return F.filter(texts, lambda text: text.isNotNull())
 
 
+def with_days_without_events(profile: DataFrame, delivered: DataFrame) -> DataFrame:
+    """The profile with a row for every delivered file; ``blank`` marks those without a header.  One row per file each."""
+    listed = delivered.select("file", F.col("header").alias("listed"))
+    zero = [c for c in profile.columns if c not in ("file", "event_breakdown") and not c.startswith("has_")]
+    found = {
+        f"has_{name}": F.coalesce(f"has_{name}", F.array_contains("listed", column), F.lit(False))
+        for name, column in (("client_id", "client_id"), ("alternate", "clientId"), ("referrer", "referrer"))
+    }
+    return (
+        profile.join(listed, "file", "full")
+        .withColumn("blank", F.col("rows").isNull() & F.col("listed").isNull())
+        .withColumns(found | {"event_breakdown": F.coalesce("event_breakdown", F.lit("{}"))})
+        .fillna(0, zero)
+        .drop("listed")
+    )
+
+
 def dq_report(
     events: DataFrame,
     file: str = "file",
     status_rule: str = "reference",
     critical_null_rate: float = NULL_CRITICAL,
+    delivered: DataFrame | None = None,
 ) -> DataFrame:
-    """The report, one row per file, on raw events (original column names kept)."""
+    """The report, one row per file, on raw events (original column names kept).
+
+    ``delivered`` lists (file, bytes, header) of all daily files: one with a header alone is
+    a row of 0 events judged by its header, one without any is an ERROR row.
+    """
     plain = [c for c in events.columns if c not in ("header", "_corrupt_record", file)]
     copies = duplicate_rows(events.withColumnRenamed(file, "file"), "file", plain)
     profile = file_profile(events, file)
+    profile = profile.withColumn("blank", F.lit(False)) if delivered is None else with_days_without_events(profile, delivered)
     drift = F.col("has_alternate") & ~F.col("has_client_id")
     nulls = F.when(drift, F.col("null_alternate")).otherwise(F.col("null_client_id"))
     known = profile.select(
@@ -147,13 +170,13 @@ def dq_report(
         drift.alias("drift"),
         (~F.col("has_referrer")).alias("no_referrer"),
         F.when(drift | F.col("has_client_id"), F.try_divide(nulls, F.col("rows"))).alias("null_rate"),
-        (F.col("corrupt_rows") > 0).alias("unreadable"),
-        ((F.col("corrupt_rows") > 0) | (F.col("broken_payloads") > 0)).alias("failed"),
+        (F.col("blank") | (F.col("corrupt_rows") > 0)).alias("unreadable"),
+        (F.col("blank") | (F.col("corrupt_rows") > 0) | (F.col("broken_payloads") > 0)).alias("failed"),
     ).join(copies, "file", "left")
     readable = ~F.col("unreadable")
     complete = ~F.col("failed")
     checks = (F.col("drift"), F.col("no_referrer"), F.col("null_rate"))
-    failure = F.when(
+    failure = F.when(F.col("blank"), "READ_ERROR: no columns").when(
         F.col("unreadable"), F.format_string("READ_ERROR: %d unreadable rows", F.col("corrupt_rows"))
     ).otherwise(F.format_string("PARSE_ERROR: %d unparseable payloads", F.col("broken_payloads")))
     found = F.when(readable, file_alerts(*checks)).otherwise(F.array().cast("array<string>"))

@@ -22,8 +22,11 @@ from clickloom.operators.contract import must_quarantine, row_findings
 CSV_COLUMNS = ("event_id", "timestamp", "event_name", "page_url", "event_data")
 
 
-def daily_files(x: Inputs) -> str:
-    """Write the raw events as daily CSV files with three different headers."""
+def daily_files(x: Inputs, with_empty_days: bool = False) -> str:
+    """Write the raw events as daily CSV files with three different headers.
+
+    On request also a day with a header alone, without referrer, and one of zero bytes.
+    """
     root = tables.shared_folder(x.spark, "daily-files")
     text = x.files.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
     old, blind = F.col("event_date") < "2024-01-11", F.col("event_date") == "2024-01-20"
@@ -34,6 +37,11 @@ def daily_files(x: Inputs) -> str:
     ]
     for days, columns in shapes:
         event_files.write_event_files(text.where(days).select("file", *columns), root)
+    if with_empty_days:
+        header = text.select("client_id", *CSV_COLUMNS).limit(0).coalesce(1)
+        header.write.option("header", True).csv(f"{root}/file=events_20240301.csv")
+        path = x.spark._jvm.org.apache.hadoop.fs.Path(f"{root}/file=events_20240302.csv")
+        path.getFileSystem(x.spark._jsc.hadoopConfiguration()).create(path).close()
     return f"{root}/*{event_files.FILE_GLOB}"
 
 

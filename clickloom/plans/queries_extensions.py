@@ -68,10 +68,11 @@ def _(x):
     return customers.cohort_retention(_orders(x), "month", 90)
 
 
-@query("x3_retention_table", "SELECT cohort, " + ", ".join(
-    f'count(DISTINCT user_id) FILTER (WHERE bucket = {b}) AS "{b}"' for b in range(4)) + f" FROM ({ORDER_DAYS}) GROUP BY 1")
+@query("x3_retention_table", f"""
+SELECT cohort, coalesce(COLUMNS(* EXCLUDE cohort), 0) FROM (
+  PIVOT (SELECT cohort, bucket, user_id FROM ({ORDER_DAYS})) ON bucket USING count(DISTINCT user_id) GROUP BY cohort)""")
 def _(x):
-    return customers.retention_table(_orders(x), 4, "month", 90)
+    return customers.retention_table(_orders(x), None, "month", 90)
 
 
 @query("x4_customer_value", f"""

@@ -9,9 +9,10 @@ from clickloom.operators import checks, contract, dashboards, metrics, monitor,
 from clickloom.operators.attribution import match_sessions
 from clickloom.operators.conversions import conversions
 from clickloom.plans.comparison_sql import BUYS, first_nonzero, json_text
-from clickloom.plans.queries_basic import FILE_NAME, KEYS, NO_OBJECT
+from clickloom.plans.queries_basic import FILE_NAME, KEYS, NO_OBJECT, daily_files
 from clickloom.plans.queries_sessions import BREAKDOWN, TRANSACTION
 from clickloom.plans.registry import Inputs, query
+from clickloom.sources import event_files
 
 # ---------------------------------------------------------------------- quality report
 
@@ -67,6 +68,15 @@ def _(x):
     return quality.dq_report(x.sound_files, status_rule="max").select("file", "status")
 
 
+@query("q7_report_of_delivered_files", f"""
+SELECT file, status, "rows" FROM ({report_sql("raw")}) UNION ALL
+SELECT * FROM (VALUES ('events_20240301.csv', 'CRITICAL', 0), ('events_20240302.csv', 'ERROR', NULL)) v""")
+def _(x):
+    found = daily_files(x, with_empty_days=True)
+    events = event_files.read_event_files(x.spark, found)
+    return quality.dq_report(events, delivered=event_files.delivered_files(x.spark, found)).select("file", "status", "rows")
+
+
 def _part(name: str, *columns: str) -> None:
     quoted = ", ".join(f'"{c}"' for c in columns)
 
@@ -213,7 +223,21 @@ def _(x):
 _rule("r4_payload_required", union(R4_EMPTY, R4_JSON), "R4_")
 _rule("r5_required_keys", R5, "R5_")
 _rule("r6_unknown_keys", R6, "R6_")
-_rule("r7_revenue_numeric", R7, "R7_")
+# Every 13th purchase states its revenue as a word, every 17th a negative one.
+ODD_REVENUE = """(SELECT * REPLACE (CASE WHEN event_name <> 'checkout_completed' THEN event_data
+  WHEN event_id % 13 = 0 THEN '{"transaction_id":"A","revenue":"ten"}'
+  WHEN event_id % 17 = 0 THEN '{"transaction_id":"B","revenue":-3}' ELSE event_data END AS event_data) FROM raw)"""
+
+
+def _odd_revenue(x: Inputs):
+    buys = F.col("event_name") == "checkout_completed"
+    text = F.when(buys & (F.col("event_id") % 13 == 0), '{"transaction_id":"A","revenue":"ten"}').when(
+        buys & (F.col("event_id") % 17 == 0), '{"transaction_id":"B","revenue":-3}'
+    )
+    return x.raw.withColumn("event_data", F.coalesce(text, "event_data"))
+
+
+_rule("r7_revenue_numeric", R7.replace("FROM raw", f"FROM {ODD_REVENUE}"), "R7_", _odd_revenue)
 
 
 @query("r8_exact_duplicates", R8)
@@ -231,7 +255,7 @@ def _(x):
     return contract.day_violations(x.raw).where(F.col("rule").startswith("R10_"))
 
 
-_rule("r11_revenue_positive", R11, "R11_")
+_rule("r11_revenue_positive", R11.replace("FROM raw", f"FROM {ODD_REVENUE}"), "R11_", _odd_revenue)
 _rule("r12_timestamp_range", R12, "R12_", _with_ingest)
 
 
@@ -264,17 +288,43 @@ def _(x):
 
 # ----------------------------------------------------------------------------- monitor
 
+# Days with every situation the monitor looks for: one of three times the events, one nobody
+# delivered, one without revenue, one without paid credit, one without any credit.
+STRAINED_RAW = f"(SELECT * FROM ({TRIPLED}) WHERE event_date <> DATE '2024-01-12')"
+STRAINED_GOLD = """(SELECT conversion_time, CASE WHEN d = DATE '2024-01-05' THEN 0 ELSE revenue END AS revenue,
+  CASE d WHEN DATE '2024-01-06' THEN 'Direct' WHEN DATE '2024-01-07' THEN 'Unattributed' ELSE last_click_channel END AS last_click_channel
+  FROM (SELECT *, CAST(conversion_time AS DATE) AS d FROM gold_b) WHERE d <> DATE '2024-01-12')"""
+
+
+def _strained(x: Inputs):
+    day = F.to_date("conversion_time")
+    gold = x.lean_gold.where(day != "2024-01-12").withColumns({
+        "revenue": F.when(day == "2024-01-05", 0.0).otherwise(F.col("revenue")),
+        "last_click_channel": F.when(day == "2024-01-06", "Direct").when(day == "2024-01-07", "Unattributed")
+        .otherwise(F.col("last_click_channel")),
+    })
+    return monitor.checked_days(_tripled(x).where("event_date <> DATE '2024-01-12'"), gold, monitor.ALL_DATES)
+
+
+def monitor_days(raw: str = "raw", gold: str = "gold_b") -> str:
+    """Every day from the first to the last with what both tables say of it."""
+    both = f"SELECT * FROM ({MONITOR_RAW.format(raw=raw)}) FULL JOIN ({MONITOR_GOLD.format(gold=gold)}) USING (day)"
+    return f"""SELECT * FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM ({both}))
+      LEFT JOIN ({both}) USING (day)"""
+
+
 MONITOR_RAW = """
   SELECT *, avg(n) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS mean FROM (
     SELECT event_date AS day, count(*) AS n, avg(CASE WHEN coalesce(cid_old, cid_new) IS NULL THEN 1.0 ELSE 0.0 END) AS null_ids,
-      avg(CASE WHEN coalesce(referrer, '') = '' THEN 1.0 ELSE 0.0 END) AS no_referrer FROM raw GROUP BY 1)"""
+      avg(CASE WHEN coalesce(referrer, '') = '' THEN 1.0 ELSE 0.0 END) AS no_referrer FROM {raw} GROUP BY 1)"""
 _DEC = "CAST(revenue AS DECIMAL(18, 2))"
 MONITOR_GOLD = f"""
   SELECT CAST(conversion_time AS DATE) AS day, CAST(sum({_DEC}) AS DOUBLE) AS total,
     coalesce(CAST(sum({_DEC}) FILTER (WHERE last_click_channel IN ('Paid Search', 'Paid Social')) AS DOUBLE), 0) AS paid,
     coalesce(CAST(sum({_DEC}) FILTER (WHERE last_click_channel = 'Unattributed') AS DOUBLE), 0) AS lost
-  FROM gold_b GROUP BY 1"""
-MONITOR_DAYS = f"SELECT * FROM ({MONITOR_RAW}) FULL JOIN ({MONITOR_GOLD}) USING (day)"
+  FROM {{gold}} GROUP BY 1"""
+MONITOR_DAYS = monitor_days()
+STRAINED_DAYS = monitor_days(STRAINED_RAW, STRAINED_GOLD)
 MONITOR_TESTS = {
     "NO_DATA": ("P0", "n IS NULL"),
     "VOLUME_ANOMALY": ("P0", "mean > 0 AND (n < mean * 0.5 OR n > mean * 1.5)"),
@@ -286,9 +336,9 @@ MONITOR_TESTS = {
 }
 
 
-def monitor_alerts_sql(*codes: str) -> str:
+def monitor_alerts_sql(*codes: str, days: str = MONITOR_DAYS) -> str:
     return union(*[
-        f"SELECT day AS check_date, '{MONITOR_TESTS[c][0]}' AS severity, '{c}' AS code FROM ({MONITOR_DAYS}) WHERE {MONITOR_TESTS[c][1]}"
+        f"SELECT day AS check_date, '{MONITOR_TESTS[c][0]}' AS severity, '{c}' AS code FROM ({days}) WHERE {MONITOR_TESTS[c][1]}"
         for c in codes or MONITOR_TESTS
     ])
 
@@ -297,8 +347,8 @@ def _checked(x: Inputs, check_date=monitor.ALL_DATES):
     return monitor.checked_days(x.raw, x.lean_gold, check_date)
 
 
-def _codes(x: Inputs, *codes: str):
-    rows = monitor.alert_rows(_checked(x), "2024-01-31")
+def _codes(x: Inputs, *codes: str, checked=_checked):
+    rows = monitor.alert_rows(checked(x), "2024-01-31")
     return rows.where(F.col("code").isin(*codes)).select("check_date", "severity", "code")
 
 
@@ -335,9 +385,9 @@ def _(x):
 
 @query("m4_volume_anomaly", f"""
 SELECT day AS check_date, printf('Row volume (%d) deviated >50%% from 7-day avg (%d)', n, CAST(trunc(mean) AS BIGINT)) AS message
-FROM ({MONITOR_DAYS}) WHERE {MONITOR_TESTS["VOLUME_ANOMALY"][1]}""")
+FROM ({STRAINED_DAYS}) WHERE {MONITOR_TESTS["VOLUME_ANOMALY"][1]}""")
 def _(x):
-    rows = monitor.alert_rows(_checked(x), "2024-01-31")
+    rows = monitor.alert_rows(_strained(x), "2024-01-31")
     return rows.where("code = 'VOLUME_ANOMALY'").select("check_date", "message")
 
 
@@ -351,19 +401,19 @@ def _(x):
     return _codes(x, "REFERRER_BLACKOUT")
 
 
-@query("m7_zero_revenue", monitor_alerts_sql("ZERO_REVENUE"))
+@query("m7_zero_revenue", monitor_alerts_sql("ZERO_REVENUE", days=STRAINED_DAYS))
 def _(x):
-    return _codes(x, "ZERO_REVENUE")
+    return _codes(x, "ZERO_REVENUE", checked=_strained)
 
 
-@query("m8_paid_blindness", monitor_alerts_sql("PAID_BLINDNESS"))
+@query("m8_paid_blindness", monitor_alerts_sql("PAID_BLINDNESS", days=STRAINED_DAYS))
 def _(x):
-    return _codes(x, "PAID_BLINDNESS")
+    return _codes(x, "PAID_BLINDNESS", checked=_strained)
 
 
-@query("m9_high_unattributed", monitor_alerts_sql("HIGH_UNATTRIBUTED"))
+@query("m9_high_unattributed", monitor_alerts_sql("HIGH_UNATTRIBUTED", days=STRAINED_DAYS))
 def _(x):
-    return _codes(x, "HIGH_UNATTRIBUTED")
+    return _codes(x, "HIGH_UNATTRIBUTED", checked=_strained)
 
 
 STATUS_SQL = f"""
@@ -377,14 +427,42 @@ def _(x):
     return monitor.status_rows(_checked(x))
 
 
+@query("m10_strained_days", STATUS_SQL.replace(MONITOR_DAYS, STRAINED_DAYS))
+def _(x):
+    return monitor.status_rows(_strained(x))
+
+
 @query("m11_monitor_latest_day", f"SELECT * FROM ({STATUS_SQL}) ORDER BY check_date DESC LIMIT 1")
 def _(x):
     return monitor.status_rows(_checked(x, None))
 
 
-@query("m12_monitor_alerts", f"SELECT TIMESTAMP '2024-01-31' AS \"timestamp\", * FROM ({monitor_alerts_sql()})")
+# What each alert says, and the figures it carries.
+FIGURES = ("count", "avg", "rate", "total_rev", "paid_rev", "share")
+MONITOR_TEXTS = {
+    "NO_DATA": ("'No raw rows found for date ' || day", {}),
+    "VOLUME_ANOMALY": ("printf('Row volume (%d) deviated >50%% from 7-day avg (%d)', n, CAST(trunc(mean) AS BIGINT))",
+                       {"count": "n", "avg": "trunc(mean)"}),
+    "GHOST_USERS": ("printf('Null Client ID Rate: %.1f%%', null_ids * 100)", {"rate": "null_ids"}),
+    "REFERRER_BLACKOUT": ("printf('Missing Referrer Rate: %.1f%%', no_referrer * 100)", {"rate": "no_referrer"}),
+    "ZERO_REVENUE": ("'Total Revenue is $0.00 for ' || day", {}),
+    "PAID_BLINDNESS": ("format('Total Rev is ${:,} but Paid Channel Rev is $0. Check UTM parsing.', CAST(round(total) AS BIGINT))",
+                       {"total_rev": "total", "paid_rev": "paid"}),
+    "HIGH_UNATTRIBUTED": ("printf('Unattributed Share is %.1f%%', lost / total * 100)", {"share": "lost / total"}),
+}
+
+
+def _texts_sql(code: str) -> str:
+    (severity, test), (text, figures) = MONITOR_TESTS[code], MONITOR_TEXTS[code]
+    columns = ", ".join(f"round(CAST({figures.get(f, 'NULL')} AS DOUBLE), 6) AS {f}" for f in FIGURES)
+    return f"""SELECT TIMESTAMP '2024-01-31' AS "timestamp", day AS check_date, '{severity}' AS severity, '{code}' AS code,
+      {text} AS message, {columns} FROM ({STRAINED_DAYS}) WHERE {test}"""
+
+
+@query("m12_monitor_alerts", union(*map(_texts_sql, MONITOR_TESTS)))
 def _(x):
-    return monitor.alert_rows(_checked(x), "2024-01-31").drop("message", "details")
+    rows = monitor.alert_rows(_strained(x), "2024-01-31")
+    return rows.withColumns({f: F.round(F.col("details")[f], 6) for f in FIGURES}).drop("details")
 
 
 @query("a25_global_status", STATUS_SQL.replace("count(code) AS alerts", "max(severity) AS least_severity"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -45,6 +46,27 @@ def list_files(spark: SparkSession, *globs: str) -> DataFrame:
     return spark.createDataFrame([], "file string, path string")
 
 
+def daily_listing(spark: SparkSession, *globs: str) -> DataFrame:
+    """(file, bytes) of every daily file or folder under the first glob that matches, files without a byte included.
+
+    Spark's own sources skip such files, so the file system is asked.  One row per
+    day: its size is the number of days, never the number of events or part files.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for glob in globs:
+        path = jvm.org.apache.hadoop.fs.Path(glob)
+        system = path.getFileSystem(conf)
+        sizes: dict[str, int] = defaultdict(int)
+        for entry in system.globStatus(path) or ():
+            named = re.search(FILE_PATTERN, entry.getPath().toString())
+            if named:
+                folder = entry.isDirectory()
+                sizes[named[1]] += system.getContentSummary(entry.getPath()).getLength() if folder else entry.getLen()
+        if sizes:
+            return spark.createDataFrame(sorted(sizes.items()), "file string, bytes long")
+    return spark.createDataFrame([], "file string, bytes long")
+
+
 def _csv(spark: SparkSession):
     return spark.read.option("header", True).option("quote", '"').option("escape", '"')
 
@@ -57,7 +79,8 @@ def header_groups(spark: SparkSession, files: DataFrame) -> dict[tuple[str, ...]
     """Daily files by their header.
 
     Metadata work on the driver, one line read per daily file: its size is the number of
-    days, never the number of events or of part files.  Parts of a day share a header.
+    days, never the number of events or of part files.  Parts of a day share a header; one
+    that does not fails the read (see ``read_group``).
     """
     entry = F.regexp_extract("path", ENTRY_PATTERN, 1).alias("entry")
     daily = files.groupBy(entry).agg(F.min("path").alias("first")).collect()
@@ -69,8 +92,24 @@ def header_groups(spark: SparkSession, files: DataFrame) -> dict[tuple[str, ...]
     return groups
 
 
+def delivered_files(spark: SparkSession, *globs: str) -> DataFrame:
+    """(file, bytes, header): every daily file, whether it holds events or not; NULL header for an empty one."""
+    headers: dict[str, tuple[str, ...]] = {}
+    for header, entries in header_groups(spark, list_files(spark, *globs)).items():
+        headers |= {re.search(FILE_PATTERN, entry)[1]: header for entry in entries if header}
+    known = spark.createDataFrame([(f, list(h)) for f, h in headers.items()], "file string, header array<string>")
+    return daily_listing(spark, *globs).join(known, "file", "left")
+
+
 def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -> DataFrame:
-    """Files of one header, all text, with their name, header and unreadable lines."""
+    """Files of one header, all text, with their name, header and unreadable lines.
+
+    Every part's own header is held against the expected one while it is read, so columns
+    are never taken for each other.  The reader cannot check a header with a blank or
+    repeated name, since it gives such columns names of its own.
+    """
+    bases = [c.removesuffix(str(i)).lower() for i, c in enumerate(header)]
+    named = "_c" not in bases and len(set(bases)) == len(bases)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
     rows = (
         _csv(spark)
@@ -79,6 +118,7 @@ def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -
         .option("columnNameOfCorruptRecord", CORRUPT)
         # A pruned parse would not look at the fields that make a line unreadable.
         .option("columnPruning", False)
+        .option("enforceSchema", not named)
         .csv(sorted(paths))
     )
     # Spark refuses a query that needs nothing but the corrupt column, so that column is
@@ -100,8 +140,9 @@ def read_event_files(spark: SparkSession, *globs: str, required: bool = False) -
     lacks are NULL; ``header`` tells such a column from one without values.
     """
     groups = header_groups(spark, list_files(spark, *globs))
+    groups.pop((), None)  # parts without a single line
     if not groups:
-        if required:
+        if required and daily_listing(spark, *globs).isEmpty():
             raise NoEventFiles(f"no event files under {', '.join(globs)}")
         columns = [f"{c} string" for c in ("file", *RAW_COLUMNS, CORRUPT)]
         return spark.createDataFrame([], ", ".join(columns) + ", header array<string>")

@@ -83,7 +83,7 @@ def test_all_days_equal_single_days(spark):
         rows = monitor.alert_rows(monitor.checked_days(raw, gold, check), "2025-03-09").collect()
         return {(r.check_date, r.code, r.message) for r in rows}
 
-    days = [date(2025, 3, d) for d in (1, 2, 4, 5, 6)]
+    days = [date(2025, 3, d) for d in range(1, 7)]
     assert found(monitor.ALL_DATES) == set().union(*[found(d) for d in days])
     assert found(None) == found(days[-1])
 
@@ -101,3 +101,14 @@ def test_validation_summary_of_the_fixture(spark):
     assert {r for r, _ in results.values()} == {"PASS"}
     assert results["G"][1] == "raw=425.00 attributed=425.00"
     assert results["B"][1] == "expected=2 actual=2"
+
+
+def test_a_day_nobody_delivered_is_red(spark):
+    from clickloom.operators import monitor as m
+
+    raw = spark.sql("""SELECT concat('2025-02-0', d, 'T00:00:00Z') AS timestamp, 'u' AS client_id, 'p' AS page_url, 'r' AS referrer
+        FROM VALUES (1), (4) t(d)""")
+    gold = spark.sql("""SELECT 't' AS transaction_id, 5.0D AS revenue, 'Direct' AS first_click_channel, 'Direct' AS last_click_channel,
+        to_timestamp(concat('2025-02-0', d, 'T00:00:00Z')) AS conversion_time FROM VALUES (1), (4) t(d)""")
+    status = {str(r.check_date): r.status for r in m.status_rows(m.checked_days(raw, gold, m.ALL_DATES)).collect()}
+    assert status == {"2025-02-01": "GREEN", "2025-02-02": "RED", "2025-02-03": "RED", "2025-02-04": "GREEN"}

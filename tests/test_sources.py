@@ -93,3 +93,31 @@ def test_a_copy_in_another_file_is_a_copy_and_unreadable_lines_are_not_staged(sp
     row = ("u1", "2025-03-01T10:00:00Z", "page_viewed", "https://s/p", None, None)
     rows = [("a.csv", *row, None), ("b.csv", *row, None), ("b.csv", "u2", None, None, None, None, None, "u2,")]
     assert [r.user_id for r in stage_events(spark.createDataFrame(rows, columns), PANDAS).collect()] == ["u1"]
+
+
+def test_a_part_with_another_header_fails_instead_of_shifting_columns(spark, tmp_path):
+    (tmp_path / "events_20250101.csv").mkdir()
+    for part, lines in enumerate((["client_id,page_url", "a,/x"], ["page_url,client_id", "/y,b"])):
+        (tmp_path / "events_20250101.csv" / f"part-{part}.csv").write_text("\n".join(lines) + "\n")
+    with pytest.raises(Exception, match="events_20250101.csv/part-1.csv"):
+        event_files.read_event_files(spark, f"{tmp_path}/events_*.csv").collect()
+
+
+def test_days_without_events_are_in_the_report(spark, folder):
+    for name, text in (("events_20250305.csv", ""), ("events_20250306.csv", FULL + "\n")):
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(text)
+    found = f"{folder}/events_*.csv"
+    events = event_files.read_event_files(spark, found)
+    report = {r.file[7:15]: r for r in dq_report(events, delivered=event_files.delivered_files(spark, found)).collect()}
+    assert sorted(report) == ["20250223", "20250227", "20250304", "20250305", "20250306"]
+    empty, header = report["20250305"], report["20250306"]
+    assert (empty.status, empty.rows, empty.revenue, empty.alerts) == ("ERROR", None, None, ["READ_ERROR: no columns"])
+    assert (header.status, header.rows, header.revenue, header.null_rate, header.alerts) == ("PASS", 0, 0.0, None, [])
+
+
+def test_an_empty_file_is_a_delivered_file(spark, tmp_path):
+    (tmp_path / "events_20250101.csv").write_text("")
+    found = f"{tmp_path}/events_*.csv"
+    assert event_files.read_event_files(spark, found, required=True).count() == 0
+    assert [r.status for r in dq_report(event_files.read_event_files(spark, found), delivered=event_files.delivered_files(spark, found)).collect()] == ["ERROR"]
