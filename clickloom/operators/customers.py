@@ -6,7 +6,6 @@ partition is bounded by the covered days.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,12 +35,13 @@ def cohort_retention(daily: DataFrame, unit: str = "week", bucket_days: int = 7)
     return with_cohort(daily, unit, bucket_days).groupBy("cohort", "bucket").agg(F.count_distinct("user_id").alias("users"))
 
 
-def retention_table(daily: DataFrame, buckets: int, unit: str = "week", bucket_days: int = 7) -> DataFrame:
-    """The same with one column per bucket."""
+def retention_table(daily: DataFrame, buckets: int | None = None, unit: str = "week", bucket_days: int = 7) -> DataFrame:
+    """The same with one column per bucket: the first ``buckets``, or all there are (found by a job of its own)."""
+    wanted = None if buckets is None else list(range(buckets))
     return (
         cohort_retention(daily, unit, bucket_days)
         .groupBy("cohort")
-        .pivot("bucket", list(range(buckets)))
+        .pivot("bucket", wanted)
         .agg(F.first("users"))
         .fillna(0)
     )
@@ -87,31 +87,33 @@ def churn_labels(events: DataFrame, as_of: str, inactive_days: int = 14) -> Data
 def ordered_funnel(events: DataFrame, steps: tuple[str, ...]) -> DataFrame:
     """(position, step, users): users who took the steps in this order.
 
-    The time of a step is the first one after the step before.  Each round keeps one row
-    per user and joins it to one step's events, reduced again before the shuffle.
+    The time of a step is the first one after the step before.  Every step joins its events
+    to one row per user and keeps one row per user again, with a time for each step so far;
+    all steps are counted from the last of these tables, so no step is built twice.
     """
     moments = events.where(F.col("event_ts").isNotNull()).select("user_id", "event_ts", "event_name")
 
     def of(step: str) -> DataFrame:
-        return moments.where(F.col("event_name") == step)
-
-    reached = of(steps[0]).groupBy("user_id").agg(F.min("event_ts").alias("reached"))
-    counts = []
-    for position, step in enumerate(steps, 1):
-        if position > 1:
-            reached = (
-                of(step)
-                .join(reached, "user_id")
-                .where("event_ts > reached")
-                .groupBy("user_id")
-                .agg(F.min("event_ts").alias("reached"))
-            )
-        counts.append(
-            reached.agg(F.count(F.lit(1)).alias("users")).select(
-                F.lit(position).alias("position"), F.lit(step).alias("step"), "users"
+        return moments.where(F.col("event_name") == step).select("user_id", "event_ts")
+
+    taken = of(steps[0]).groupBy("user_id").agg(F.min("event_ts").alias("t1"))
+    for position, step in enumerate(steps[1:], 2):
+        before = [F.col(f"t{i}") for i in range(1, position)]
+        # Times before are the same on all rows of a user, so a maximum carries them.
+        taken = (
+            taken.join(of(step), "user_id", "left")
+            .groupBy("user_id")
+            .agg(
+                *[F.max(t).alias(f"t{i}") for i, t in enumerate(before, 1)],
+                F.min(F.when(F.col("event_ts") > before[-1], F.col("event_ts"))).alias(f"t{position}"),
             )
         )
-    return reduce(DataFrame.union, counts)
+    counted = taken.agg(*[F.count(f"t{i}").alias(f"n{i}") for i in range(1, len(steps) + 1)])
+    rows = [
+        F.struct(F.lit(i).alias("position"), F.lit(step).alias("step"), F.col(f"n{i}").alias("users"))
+        for i, step in enumerate(steps, 1)
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def two_variant_test(subjects: DataFrame, variant: Column, success: Column, critical: float = 1.959964) -> DataFrame:

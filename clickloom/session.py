@@ -15,6 +15,8 @@ RECOMMENDED = {
     # Partition counts, join strategies and skewed join partitions are settled at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where the grouping after it then takes a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Sort aggregates over a hot key merge on the map side before the shuffle; so do
     # session windows in streams.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
