@@ -6,7 +6,6 @@ partition is bounded by the covered days.
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
