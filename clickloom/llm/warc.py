@@ -42,13 +42,17 @@ BLOCKS = (
 )
 DATE = "2024-01-01T00:00:00Z"
 HIDDEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|$)", re.DOTALL | re.IGNORECASE)
-BREAK = re.compile(rf"</?(?:{BLOCKS})\b[^>]*>", re.IGNORECASE)
-TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
+# What has begun runs to the end of the page where it is not closed, so no pattern scans a page twice.
+BREAK = re.compile(rf"</?(?:{BLOCKS})\b[^>]*(?:>|$)", re.IGNORECASE)
+TAG = re.compile(r"<[a-zA-Z/!?][^>]*(?:>|$)")
 SPACE = re.compile(r"[ \t\r\f\v\xa0]+")
 LINES = re.compile(r" ?\n[ \n]*")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.DOTALL | re.IGNORECASE)
-LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.IGNORECASE)
-LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+TITLE = re.compile(r"<title\b[^>]*(?:>|$)(.*?)(?:</title|$)", re.DOTALL | re.IGNORECASE)
+ROOT = re.compile(r"<html\b([^>]*)", re.IGNORECASE)
+LANG = re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.IGNORECASE)
+ANCHOR = re.compile(r"<a\b([^>]*)", re.IGNORECASE)
+HREF = re.compile(r"\bhref\s*=\s*", re.IGNORECASE)
+VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
 
 
 def plain_text(page: str) -> str:
@@ -57,6 +61,22 @@ def plain_text(page: str) -> str:
     return LINES.sub("\n", SPACE.sub(" ", html.unescape(text))).strip()
 
 
+def language(page: str) -> str | None:
+    """What the page's root element calls its language."""
+    root = ROOT.search(page)
+    found = root and LANG.search(root[1])
+    return found[1] if found else None
+
+
+def outlinks(page: str) -> Iterator[str]:
+    """Targets of the page's links, in order; a quoted one may hold a ``>``."""
+    for anchor in ANCHOR.finditer(page):
+        target = HREF.search(page, anchor.start(1), anchor.end(1))
+        value = target and VALUE.match(page, target.end())
+        if value:
+            yield " ".join(html.unescape(next(filter(None, value.groups()), "")).split())
+
+
 def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -126,12 +146,12 @@ def derivatives(records: DataFrame) -> DataFrame:
                 text = plain_text(page).encode()
                 payload = r["payload_digest"] or digest(body)
                 conversion, metadata = made_id("conversion", source), made_id("metadata", source)
-                title, lang = TITLE.search(page), LANG.search(page)
+                title, lang = TITLE.search(page), language(page)
                 fields = [("source-record", source), ("source-payload-digest", payload), ("conversion-record", conversion)]
                 fields += [("source-header", line) for line in head]
                 fields += [("title", " ".join(plain_text(title[1]).split()))] if title else []
-                fields += [("language", lang[1])] if lang else []
-                fields += [("outlink", " ".join(html.unescape(next(filter(None, m.groups()), "")).split())) for m in LINK.finditer(page)]
+                fields += [("language", lang)] if lang else []
+                fields += [("outlink", link) for link in outlinks(page)]
                 lines = "".join(f"{k}: {v}\r\n" for k, v in fields).encode()
                 out.append(record(r["page_id"], "metadata", metadata, source, conversion, uri, date, "application/warc-fields",
                                   payload, lines))

@@ -1,7 +1,9 @@
 import base64
 import hashlib
+import time
 from html.parser import HTMLParser
 
+from clickloom.llm import warc
 from clickloom.llm.warc import derivatives, file_bytes, parse_records, plain_text, responses
 
 PAGE = """<!DOCTYPE html><html lang="fr"><head><title>A &amp; B</title><style>p{x}</style><script>var t="</p>";</script></head>
@@ -75,3 +77,17 @@ def test_links_digests_and_round_trip(spark):
 
 def test_empty_table(spark):
     assert derivatives(responses(pages(spark, []))).count() == 0
+
+
+def test_unclosed_tags_are_read_once():
+    for piece in ("<a ", "<a href=", "<a href='", "<p ", "<title ", "<html ", "<!--", "<script ", "</script ", "<html lang "):
+        page = piece * 300_000
+        started = time.monotonic()
+        warc.plain_text(page), warc.TITLE.search(page), warc.language(page), list(warc.outlinks(page))
+        assert time.monotonic() - started < 20, piece
+
+
+def test_links_and_language():
+    page = """<html class=x lang='de'><a href="/a>b">1</a><A id=1 HREF = '/c?d=1&amp;e=2'>2</A><a name=n>3</a><a href=/f>4</a><area href=/g>"""
+    assert warc.language(page) == "de" and list(warc.outlinks(page)) == ["/a>b", "/c?d=1&e=2", "/f"]
+    assert warc.language("<p lang=fr>") is None and warc.plain_text("a <b") == "a"
