@@ -1,8 +1,10 @@
 """Benchmark leaks, re-parameterised ones included, by template windows.
 
-Words are lower-cased runs of letters and digits.  Numbers, units after a number, and
+Words are lower-cased runs of letters and digits (letters of three UTF-8 bytes or more stay as
+they are).  Numbers, units after a number, and
 capitalised words inside a sentence become the placeholders of their type; what stood
-there is a slot value.  Windows of ``size`` such words are hashed on both sides:
+there is a slot value.  Windows of ``size`` such words are hashed on both sides, and so are
+the plain windows, without placeholders: a text in capitals throughout shows no names.
 
 1. A bitmap of ``BITS`` bits of the benchmark's window hashes, of fixed size, lets through
    the windows of documents that may match.
@@ -10,11 +12,11 @@ there is a slot value.  Windows of ``size`` such words are hashed on both sides:
    one distance form an alignment; it counts only if slots are consistent, that is, every
    slot value of the item stands for one value of the document and the other way round.
 3. A document leaks an item if consistent alignments cover at least ``share`` of the item's
-   windows.
+   windows of one kind.
 
 Defined results: an item of fewer than ``size`` words is one window; windows with fewer
 than ``literals`` words that are no placeholder (or than all of a shorter item) are left
-out on both sides, and an item without other windows cannot be found; null and empty
+out on both sides, and an item without other windows is found by plain ones only; null and empty
 texts match nothing; rows repeated with the same id and text are one document; a null id
 is an id of its own.  An empty table on either side gives no rows.
 """
@@ -22,6 +24,7 @@ is an id of its own.  An empty table on either side gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +54,27 @@ JOINT = np.isin(_BYTES, [44, 46])
 SENTENCE_END = np.isin(_BYTES, [10, 33, 46, 58, 63])
 
 
+def lower_codes() -> np.ndarray:
+    """The lower case of every character of two UTF-8 bytes at most; itself where that has another size."""
+    code = np.arange(1 << 11)
+    low = [chr(c).lower() for c in code]
+    return np.array([ord(x) if len(x) == 1 and len(x.encode()) == 1 + (c > 127) else c for c, x in zip(code, low, strict=True)])
+
+
+LOWER_CODES = lower_codes()
+
+
+def lowered(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes in lower case, and which of them begin a capital."""
+    out, upper = LOWER[data], UPPER[data]
+    lead = np.flatnonzero((data >= 0xC2) & (data <= 0xDF))
+    code = (data[lead].astype(np.int64) & 31) << 6 | data[lead + 1] & 63
+    low = LOWER_CODES[code]
+    out[lead], out[lead + 1] = 0xC0 | low >> 6, 0x80 | low & 63
+    upper[lead] = low != code
+    return out, upper
+
+
 def unit_hashes() -> np.ndarray:
     data = np.frombuffer(" ".join(UNITS).encode(), np.uint8)
     start, stop, _ = spans(data != 32, np.array([0, len(data)]))
@@ -61,7 +85,7 @@ UNIT_HASHES = unit_hashes()
 
 
 def templates(data: np.ndarray, starts: np.ndarray):
-    """(start, stop, first, hash, is placeholder) of every word of a chunk."""
+    """(start, stop, first, hash, hash with placeholders, is placeholder) of every word of a chunk."""
     solid = SOLID[data]
     point = np.zeros(len(data), bool)
     point[1:-1] = JOINT[data[1:-1]] & DIGIT[data[:-2]] & DIGIT[data[2:]]
@@ -69,9 +93,10 @@ def templates(data: np.ndarray, starts: np.ndarray):
     point[starts[:-1][rows]] = False
     point[starts[1:][rows] - 1] = False
     start, stop, first = spans(solid | point, starts)
-    hashes = span_hashes(LOWER[data], start, stop)
+    low, upper = lowered(data)
+    hashes = span_hashes(low, start, stop)
     if not len(start):
-        return start, stop, first, hashes, np.zeros(0, bool)
+        return start, stop, first, hashes, hashes, np.zeros(0, bool)
 
     def inside(mask: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         total = np.zeros(len(data) + 1, np.int64)
@@ -84,22 +109,21 @@ def templates(data: np.ndarray, starts: np.ndarray):
     opens = np.zeros(len(start), bool)
     opens[first[:-1][first[:-1] < len(start)]] = True
     unit &= ~opens & np.isin(hashes, UNIT_HASHES)
-    wide = (data[start] == 0xC3) & (data[np.minimum(start + 1, len(data) - 1)] <= 0x9E)
-    second = start + 1 + wide
+    second = start + 1 + (data[start] >= 0xC2)
     # One capital and more that are none: words in capitals throughout are no names.
-    capital = (UPPER[data[start]] | wide) & (second < stop) & ~UPPER[data[np.minimum(second, len(data) - 1)]]
+    capital = upper[start] & (second < stop) & ~upper[np.minimum(second, len(data) - 1)]
     gap = np.ones(len(start), np.int64)
     gap[1:] = inside(SENTENCE_END[data], stop[:-1], start[1:])
     name = capital & ~opens & (gap == 0) & ~number & ~unit
-    hashes = np.where(number, NUMBER, np.where(name, NAME, np.where(unit, UNIT, hashes)))
-    return start, stop, first, hashes, number | name | unit
+    typed = np.where(number, NUMBER, np.where(name, NAME, np.where(unit, UNIT, hashes)))
+    return start, stop, first, hashes, typed, number | name | unit
 
 
-WINDOW = "at int, hash long, slots array<string>, windows int"
+WINDOW = "at int, hash long, slots array<string>, windows int, plain boolean"
 
 
 def template_windows(rows: DataFrame, keys: list[str], sizes, literals: int, bitmap=None) -> DataFrame:
-    """(keys, at, hash, slots, windows): windows of every row; ``windows`` says how many the row has.
+    """(keys, at, hash, slots, windows, plain): windows of every row; ``windows`` says how many of its kind the row has.
 
     ``sizes``: for documents the broadcast window sizes; for items one size, items of fewer
     words being one window.  With a bitmap only windows it may hold are returned.
@@ -110,13 +134,14 @@ def template_windows(rows: DataFrame, keys: list[str], sizes, literals: int, bit
         bits = bitmap.value if bitmap else None
         for batch in batches:
             for lo, hi, data, starts in chunks(batch.column("text")):
-                start, stop, first, hashes, slot = templates(data, starts)
+                start, stop, first, words, typed, slot = templates(data, starts)
                 n = np.diff(first)
                 row_of = np.repeat(np.arange(hi - lo), n)
-                whole = slot.cumsum()
-                for size in sizes:
+                kinds = ((False, typed, slot), (True, words, np.zeros(len(slot), bool)))
+                for size, (plain, hashes, slot) in product(sizes, kinds):
+                    whole = slot.cumsum()
                     value, ok = windows(hashes, first, size)
-                    value += np.uint64(size)
+                    value += np.uint64(size + (plain << 8))
                     at = np.flatnonzero(ok)
                     held = whole[at + size - 1] - whole[at] + slot[at]
                     at = at[size - held >= min(literals, size)]
@@ -139,8 +164,9 @@ def template_windows(rows: DataFrame, keys: list[str], sizes, literals: int, bit
                             pa.array(value[at].astype(np.int64)),
                             pa.array(slots, pa.list_(pa.string())),
                             pa.array(count[row_of[at]].astype(np.int32)),
+                            pa.array(np.full(len(at), plain)),
                         ],
-                        names=[*keys, "at", "hash", "slots", "windows"],
+                        names=[*keys, "at", "hash", "slots", "windows", "plain"],
                     )
 
     return rows.mapInArrow(run, ", ".join([*[f"{k} {types[k]}" for k in keys], WINDOW]))
@@ -165,27 +191,27 @@ def leaks(
     short = [r[0] for r in items.groupBy("item_id").agg(F.max("windows").alias("w")).where("w = 1").select(F.lit(1)).limit(1).collect()]
     used = sizes if short else [size]
     found = template_windows(docs, ["doc_id", "print"], used, literals, spark.sparkContext.broadcast(bits))
-    matched = found.drop("windows").join(
-        items.select("item_id", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "windows"), "hash"
+    matched = found.drop("windows", "plain").join(
+        items.select("item_id", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "windows", "plain"), "hash"
     )
     pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("x"), F.col("slots").alias("y")))))
     key = ["doc_id", "print", "item_id"]
     aligned = (
-        matched.groupBy(*key, (F.col("at") - F.col("item_at")).alias("shift"))
+        matched.groupBy(*key, "plain", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.collect_set("item_at").alias("spots"), pairs.alias("pairs"), F.max("windows").alias("windows"))
         .withColumn("xs", F.size(F.array_distinct(F.transform("pairs", lambda p: p["x"]))))
         .withColumn("ys", F.size(F.array_distinct(F.transform("pairs", lambda p: p["y"]))))
         .where((F.size("pairs") == F.col("xs")) & (F.size("pairs") == F.col("ys")))
     )
-    covered = F.size(F.array_distinct(F.flatten(F.collect_list("spots"))))
-    reworded = F.max(F.exists("pairs", lambda p: p["x"] != p["y"]))
-    return (
-        aligned.groupBy(*key)
-        .agg(covered.cast("long").alias("matched"), F.max("windows").cast("long").alias("windows"), reworded.alias("reworded"))
-        .withColumn("share", F.col("matched") / F.col("windows"))
-        .where(F.col("share") >= share)
-        .select(*key, "matched", "windows", "share", "reworded")
-    )
+    reworded = F.exists("pairs", lambda p: p["x"] != p["y"])
+    # An item's windows bound what is left of a document, however often it repeats the item.
+    most = [F.max("windows").cast("long").alias("windows"), F.max("reworded").alias("reworded")]
+    covered = aligned.select(*key, "plain", "windows", reworded.alias("reworded"), F.explode("spots").alias("spot"))
+    covered = covered.groupBy(*key, "plain", "spot").agg(*most).groupBy(*key, "plain").agg(F.count("*").alias("matched"), *most)
+    covered = covered.withColumn("share", F.col("matched") / F.col("windows")).where(F.col("share") >= share)
+    # Of both kinds the one that is covered better, else the plain one.
+    best = F.max(F.struct("share", "plain", "matched", "windows", "reworded")).alias("best")
+    return covered.groupBy(*key).agg(best).select(*key, *[f"best.{c}" for c in ("matched", "windows", "share", "reworded")])
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

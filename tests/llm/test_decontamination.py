@@ -44,6 +44,16 @@ def test_insertion_splits_the_alignment_only(spark):
     assert (0, 5) in found(spark, [" ".join([*words[:2], "slowly", *words[2:]])])
 
 
+def test_capitals_beyond_ascii(spark):
+    """A text in capitals throughout is found; a name with an accent fills a slot."""
+    item = "éai éonlée pour an éonqueê aivi ai, éenaitre oiaux éoiré anvitre ñandú Ωmega Жуков"
+    other = "on a vu que la grande maison de Élodie reste vide pendant les trois mois"
+    rows = [(1, item), (2, other)]
+    texts = [item.upper(), other.replace("Élodie", "Ñora"), other.replace("Élodie", "İstanbul")]
+    got = {(r.doc_id, r.item_id): r for r in leaks(docs(spark, texts), benchmark(spark, rows)).collect()}
+    assert {(0, 1), (1, 2)} <= set(got) and got[1, 2].reworded and got[0, 1].share == 1.0
+
+
 def test_planted_passages(spark, sf_dir):
     """Brute force: documents that hold a whole item, word for word."""
     items = [(r.item_id, " ".join(r.text.split())) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
