@@ -71,14 +71,46 @@ def attribute_since(staged: DataFrame, since: str, settings: Settings = SQL) ->
     start = F.lit(since).cast("timestamp")
     margin = F.expr(f"INTERVAL {settings.lookback_days} DAYS") + F.expr(f"INTERVAL {settings.timeout_minutes} MINUTES")
     overlap = staged.where((F.col("event_date") >= F.to_date(start - margin)) & (F.col("event_ts") >= start - margin))
-    keys = ["transaction_id", "user_id"] if settings.conversion_dedupe == "latest" else ["transaction_id"]
+    keys = _conversion_keys(settings)
     seen = conversion_events(staged.where(F.col("event_date") >= F.to_date(start)), settings).select(*keys).distinct()
-    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"e.{k}")) for k in keys]
-    events = conversion_events(staged, settings).alias("e").join(seen.alias("s"), same, "left_semi")
+    events = conversion_events(staged, settings).alias("e").join(seen.alias("s"), _same("s", "e", keys), "left_semi")
     fresh = conversions(events, settings).where(F.col("conversion_ts") >= start)
     return attribute(fresh, build_sessions(overlap, settings), settings)
 
 
+def _conversion_keys(settings: Settings) -> list[str]:
+    return ["transaction_id", "user_id"] if settings.conversion_dedupe == "latest" else ["transaction_id"]
+
+
+def _same(left: str, right: str, keys: list[str]) -> list[Column]:
+    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+
+
+def _before(gold: DataFrame, fresh: DataFrame, since: str, settings: Settings, how: str) -> DataFrame:
+    """Gold rows before a date, with or without a row of their transaction in ``fresh``."""
+    keys = _conversion_keys(settings)
+    old = gold.where(F.col("conversion_time") < F.lit(since).cast("timestamp"))
+    return old.alias("g").join(fresh.select(*keys).alias("f"), _same("g", "f", keys), how)
+
+
+def moved(gold: DataFrame, fresh: DataFrame, since: str, settings: Settings = SQL) -> DataFrame:
+    """Gold rows before a date whose transaction was seen again from it on: ``fresh`` holds them anew."""
+    return _before(gold, fresh, since, settings, "left_semi")
+
+
+def stale_days(gold: DataFrame, fresh: DataFrame, since: str, settings: Settings = SQL) -> DataFrame:
+    """(event_date) of the days before a date that lose a row, and so have to be written again."""
+    return moved(gold, fresh, since, settings).select(F.to_date("conversion_time").alias("event_date")).distinct()
+
+
+def merged_gold(gold: DataFrame, fresh: DataFrame, since: str, settings: Settings = SQL) -> DataFrame:
+    """The gold table after a run from a date on: ``fresh`` replaces that period and what moved into it.
+
+    A transaction bought again later has one row, as if all had been attributed at once.
+    """
+    return _before(gold, fresh, since, settings, "left_anti").unionByName(fresh)
+
+
 def masked(events: DataFrame, salt: str) -> DataFrame:
     """Personal data replaced: ids by salted hashes, e-mails and long numbers by marks."""
 

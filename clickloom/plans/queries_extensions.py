@@ -6,8 +6,9 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from clickloom.config import PANDAS
+from clickloom.config import PANDAS, SQL
 from clickloom.operators import contract, customers, multi_touch, upkeep
+from clickloom.operators.attribution import attribute_events
 from clickloom.operators.normalize import is_conversion
 from clickloom.plans.comparison_sql import BUYS
 from clickloom.plans.queries_basic import CRITICAL_ROW, KEYS
@@ -159,6 +160,22 @@ def _(x):
     return upkeep.attribute_since(x.staged(PANDAS), "2024-01-20", PANDAS)
 
 
+def _written_back(staged, settings):
+    """Gold of the events before a date, then brought up to date by the run from it on."""
+    old = attribute_events(staged.where(F.col("event_ts") < F.lit("2024-01-20").cast("timestamp")), settings)
+    return upkeep.merged_gold(old, upkeep.attribute_since(staged, "2024-01-20", settings), "2024-01-20", settings)
+
+
+@query("x10_gold_after_write_back", f"SELECT {GOLD} FROM gold")
+def _(x):
+    return _written_back(x.staged(), SQL)
+
+
+@query("x10_gold_after_write_back_b", f"SELECT {GOLD} FROM gold_b")
+def _(x):
+    return _written_back(x.staged(PANDAS), PANDAS)
+
+
 # A later contract that no longer asks for a ``revenue`` key lets most purchases through.
 LENIENT = contract.Contract(
     event_rules={

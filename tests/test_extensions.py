@@ -5,6 +5,7 @@ from builders import clock, purchase, raw, raw_row
 
 from clickloom import SQL
 from clickloom.operators import customers, multi_touch, upkeep
+from clickloom.operators.attribution import attribute_events
 from clickloom.operators.carts import abandoned_carts
 from clickloom.operators.normalize import stage_events
 from clickloom.plans.catalog import QUERIES
@@ -64,6 +65,17 @@ def test_incremental_attribution_of_a_cut_session(spark):
     assert found == {"T": "Direct", "T2": "Direct"}
 
 
+def test_write_back_of_a_moved_transaction(spark):
+    rows = [purchase("u", clock(days=3), "T", 5), purchase("v", clock(days=4), "T2", 1), purchase("u", clock(days=11), "T", 2)]
+    staged, since = stage_events(raw(spark, rows)), "2025-01-10"
+    old = attribute_events(staged.where("event_ts < '2025-01-10'"))
+    fresh = upkeep.attribute_since(staged, since)
+    merged = upkeep.merged_gold(old, fresh, since).collect()
+    assert sorted(merged) == sorted(attribute_events(staged).collect()) and len(merged) == 2
+    assert [r.transaction_id for r in upkeep.moved(old, fresh, since).collect()] == ["T"]
+    assert upkeep.stale_days(old, fresh, since).collect() == old.where("transaction_id = 'T'").selectExpr("to_date(conversion_time)").collect()
+
+
 def test_abandoned_cart_boundary(spark):
     cart = lambda user, **at: raw_row(user, clock(**at), "product_added_to_cart")
     rows = [

@@ -16,7 +16,8 @@ SAMPLE = (
     "f9_first_truthy_of_three", "w1_previous_event", "w6_day_over_day", "a1_session_facts", "a4_session_facts_b",
     "a8_exact_duplicates", "j1_fact_attribution", "j3_fact_attribution_b", "v8_earliest_per_transaction",
     "q7_dq_report_with_errors", "q8_dq_report", "r0_contract_violations", "m10_status_per_day",
-    "tz_validation_summary", "d1a_revenue_drops", "n3_attribution_coverage", "st2_streaming_sessions",
+    "tz_validation_summary", "m11_monitor_latest_day", "x10_gold_after_write_back", "x10_gold_after_write_back_b",
+    "d1a_revenue_drops", "n3_attribution_coverage", "st2_streaming_sessions",
 )
 CHOSEN = sorted(QUERIES) if os.environ.get("CLICKLOOM_ALL_QUERIES") else SAMPLE
 
