@@ -26,3 +26,10 @@ def query(name: str, sql: str | None = None):
         return build
 
     return register
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a short ASCII text in SQL, bit by bit."""
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    byte = "list_reduce(list_prepend(xor(c, b), range(8)), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {byte}), 4294967295)"
