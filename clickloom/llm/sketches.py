@@ -11,12 +11,14 @@
    Texts with equal sets are one class, so copies are one row from here on.
 3. A link is confirmed on full sets.  Only the components are wanted, so a bucket need not
    compare all its pairs: in each of ``STARS`` rounds one member of its largest component
-   is compared with all members outside it, a number of pairs linear in the bucket.
+   (first the one that meets others most often) is compared with all members outside it, a
+   number of pairs linear in the bucket.
 4. What stays apart in a bucket after that is compared in full: every member outside the
-   largest component with all members of other components, in blocks, on their sketches.
-   Pairs whose sketches agree as often as ``SIGMAS`` standard deviations below the
-   threshold allow are confirmed on full sets like the rest.  No pair of a bucket is left
-   out unless both are in one component already.
+   largest component with all members of other components, in blocks of bounded size that
+   carry sketches and full sets.  A pair whose sketches agree less often than ``SIGMAS``
+   standard deviations below the threshold is not compared further.  No pair of a bucket is
+   left out otherwise unless both are in one component already.  A group of m documents of
+   which k stay outside its largest component so costs k * m sketch comparisons.
 
 Links need ``100 * intersection >= percent * union``.  At 85 % a pair at the threshold
 meets in no band with probability 1.2e-5.
@@ -50,7 +52,8 @@ BANDS = 24
 WIDTH = 6
 STARS = 2
 SIGMAS = 5
-BLOCK = 256
+BLOCK = 512
+BLOCK_BYTES = 1 << 24
 _U = np.uint64
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -138,13 +141,19 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def buckets_of(classes: DataFrame) -> DataFrame:
-    """(bucket, member, n) of buckets that more than one class meets in; buckets of equal members count once."""
+    """(bucket, member, n, weight) of buckets that more than one class meets in; buckets of equal members count once.
+
+    ``weight`` is how often a member meets others in all buckets: a document that others
+    were made from meets most.
+    """
     rows = classes.where("n > 0").select(F.explode("bands").alias("bucket"), "member", "n")
     met = rows.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("members"), F.sum(F.hash("member")).alias("who"), F.bit_xor(F.xxhash64("member")).alias("who2")
     )
-    once = met.where("members > 1").groupBy("members", "who", "who2").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return rows.join(once, "bucket")
+    once = met.where("members > 1").groupBy("members", "who", "who2").agg(F.min("bucket").alias("bucket"))
+    rows = written(rows.join(once.select("bucket", "members"), "bucket"), "bucket-members")
+    weights = rows.groupBy("member").agg(F.sum("members").alias("weight"))
+    return rows.drop("members").join(weights, "member")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -167,14 +176,16 @@ def with_components(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def open_buckets(rows: DataFrame, turn: int) -> DataFrame:
-    """(bucket, largest, leader, leader_n, members, apart) of buckets with more than one component."""
-    one = F.min_by(F.struct("member", "n"), F.xxhash64("member", F.lit(turn))).alias("one")
-    parts = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"), one)
+    """(bucket, members, largest, leader, leader_n, apart, bytes) of buckets with more than one component."""
+    rank = F.struct("weight", "member") if turn == 0 else F.struct(F.xxhash64("member", F.lit(turn)))
+    one = F.max_by(F.struct("member", "n"), rank).alias("one")
+    parts = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"), one)
     best = F.max_by(F.struct("comp", "one", "size"), F.struct("size", "comp")).alias("best")
-    found = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("members"), best)
+    found = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("members"), F.sum("n").alias("n"), best)
     return found.where("parts > 1").select(
         "bucket", "members", F.col("best.comp").alias("largest"), F.col("best.one.member").alias("leader"),
         F.col("best.one.n").alias("leader_n"), (F.col("members") - F.col("best.size")).alias("apart"),
+        (8 * F.col("n")).alias("bytes"),
     )
 
 
@@ -185,41 +196,89 @@ def star_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     return met.select(F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b")).distinct()
 
 
-def likely_pairs(rows: DataFrame, sketches: DataFrame, bins: int, percent: int, block: int = BLOCK) -> DataFrame:
-    """(a, b): of every open bucket the pairs across components that their sketches don't rule out."""
-    p = percent / 100
+class Groups:
+    """Smallest labels of what has been joined, inside one task."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        while (above := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(above, above)
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = sorted((self.top(x), self.top(y)))
+        self.up[y] = x
+
+
+def links_apart(rows: DataFrame, classes: DataFrame, sets: DataFrame, bands: int, width: int, percent: int, block: int) -> DataFrame:
+    """(a, b): links that join what is apart in a bucket; all its pairs across components are compared.
+
+    A task has a block of members outside the largest component and a block of all members,
+    with bands, sketches and full sets.  A pair is taken in the first bucket it meets in.
+    Pairs whose sketches agree most are confirmed first, and a pair whose components have
+    been joined meanwhile needs no comparison, so a task returns fewer links than it has
+    members, whatever the number of its pairs.
+    """
+    bins, p = bands * width, percent / 100
     least = int(np.floor(bins * p - SIGMAS * np.sqrt(bins * p * (1 - p))))
+    keys = ["bucket", "left", "right"]
+    last = np.int64(np.iinfo(np.int64).max)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in whole_runs(batches, ["bucket", "left", "right"], 1 << 13):
-            first = starts_of(found, ["bucket", "left", "right"])
-            probe, member, comp, n = (found.column(c).to_numpy() for c in ("probe", "member", "comp", "n"))
+        for found in whole_runs(batches, keys, 256):
+            first = starts_of(found, keys)
+            bucket, probe, apart, member, comp, n = (
+                found.column(c).to_numpy() for c in ("bucket", "probe", "apart", "member", "comp", "n")
+            )
             lines = np.frombuffer(b"".join(found.column("sketch").to_pylist()), np.uint16).reshape(-1, bins)
-            out_a, out_b = [], []
+            nodes = found.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, bands)
+            shingles = found.column("shingles").combine_chunks()
+            ends, flat = np.cumsum(shingles.value_lengths().to_numpy()), shingles.flatten().to_numpy()
+            own = [flat[e - k : e] for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+            links = []
             for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(found)], strict=True):
                 near, far = lo + np.flatnonzero(probe[lo:hi]), lo + np.flatnonzero(~probe[lo:hi])
+                pairs = []
                 for i in near.tolist():
-                    apart = far[comp[far] != comp[i]]
-                    apart = apart[(100 * np.minimum(n[apart], n[i]) >= percent * np.maximum(n[apart], n[i]))]
-                    apart = apart[(lines[apart] == lines[i]).sum(axis=1) >= least]
-                    out_a += [member[i]] * len(apart)
-                    out_b += member[apart].tolist()
-            a, b = np.array(out_a, np.int64), np.array(out_b, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    still = open_buckets(rows, 0).where("members > 2").select("bucket", "members", "largest", "apart")
-    met = rows.join(still, "bucket").join(sketches, "member")
+                    to = far[(comp[far] != comp[i]) & (~apart[far] | (member[far] > member[i]))]
+                    to = to[100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i])]
+                    agree = (lines[to] == lines[i]).sum(axis=1)
+                    to, agree = to[agree >= least], agree[agree >= least]
+                    met = np.where(nodes[to] == nodes[i], nodes[i], last).min(axis=1, initial=last) == bucket[lo]
+                    pairs += [(-k, i, j) for k, j in zip(agree[met].tolist(), to[met].tolist(), strict=True)]
+                groups = Groups()
+                for _, i, j in sorted(pairs):
+                    x, y = int(comp[i]), int(comp[j])
+                    if groups.top(x) == groups.top(y):
+                        continue
+                    shared = len(np.intersect1d(own[i], own[j], assume_unique=True))
+                    if 100 * shared >= percent * (n[i] + n[j] - shared):
+                        groups.join(x, y)
+                        links.append((int(member[i]), int(member[j])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([min(x) for x in links], pa.int64()), pa.array([max(x) for x in links], pa.int64())], names=["a", "b"]
+            )
+
+    still = open_buckets(rows, 0).where("members > 2").select("bucket", "members", "largest", "apart", "bytes")
+    met = rows.join(still.withColumnsRenamed({"apart": "parted"}), "bucket")
+    met = met.withColumn("apart", F.col("comp") != F.col("largest"))
+    # Blocks are bounded by members, and on average by the bytes of their sets.
+    by_bytes = F.col("bytes") / F.col("members") / BLOCK_BYTES
+    of_near, of_far = (F.ceil(F.greatest(F.col(c) / block, F.col(c) * by_bytes)).cast("int") for c in ("parted", "members"))
     hashed = F.xxhash64("member")
-    probes, others = (F.ceil(F.col(c) / block).cast("int") for c in ("apart", "members"))
-    near = met.where("comp <> largest").withColumns(
-        {"probe": F.lit(True), "left": F.pmod(hashed, probes), "right": F.explode(F.sequence(F.lit(0), others - 1))}
+    near = met.where("apart").withColumns(
+        {"probe": F.lit(True), "left": F.pmod(hashed, of_near), "right": F.explode(F.sequence(F.lit(0), of_far - 1))}
     )
     far = met.withColumns(
-        {"probe": F.lit(False), "right": F.pmod(hashed, others), "left": F.explode(F.sequence(F.lit(0), probes - 1))}
+        {"probe": F.lit(False), "right": F.pmod(hashed, of_far), "left": F.explode(F.sequence(F.lit(0), of_near - 1))}
     )
-    columns = ["bucket", F.col("left").cast("int"), F.col("right").cast("int"), "probe", "member", "comp", "n", "sketch"]
-    both = near.select(*columns).unionByName(far.select(*columns)).repartition("bucket", "left", "right")
-    return both.sortWithinPartitions("bucket", "left", "right").mapInArrow(run, "a long, b long").distinct()
+    columns = ["bucket", F.col("left").cast("int"), F.col("right").cast("int"), "probe", "apart", "member", "comp", "n"]
+    both = written(near.select(*columns).unionByName(far.select(*columns)), "blocks")
+    both = both.join(classes.select("member", "bands", "sketch"), "member").join(sets, "member")
+    both = both.select(*keys, "probe", "apart", "member", "comp", "n", "bands", "sketch", "shingles").repartition(*keys)
+    return both.sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
 def components(
@@ -246,18 +305,17 @@ def components(
     buckets = written(buckets_of(classes), "buckets")
     wanted = buckets.select("member").distinct().join(classes.select("member", "of_doc", "of_print"), "member")
     sets = written(sets_of(docs, wanted, size), "sets")
-    tested, labels = None, None
-    for turn in range(STARS + 1):
-        met = with_components(buckets, labels)
-        if turn < STARS:
-            pairs = star_pairs(met, turn, percent)
-        else:
-            pairs = likely_pairs(met, classes.select("member", "sketch"), bands * width, percent, block)
+    links = tested = labels = None
+    for turn in range(STARS):
+        pairs = star_pairs(with_components(buckets, labels), turn, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         new = written(confirmed(pairs, sets, percent), "tested")
         tested = new if tested is None else tested.unionByName(new)
-        labels = groups_of(tested.where("linked"))
+        links = tested.where("linked").select("a", "b")
+        labels = groups_of(links)
+    more = written(links_apart(with_components(buckets, labels), classes, sets, bands, width, percent, block), "links")
+    labels = groups_of(links.unionByName(more))
     known = classes.join(labels, "member", "left").select(
         "h1", "h2", "n", "of_doc", F.coalesce("label", "member").alias("label")
     )
