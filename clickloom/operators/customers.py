@@ -83,38 +83,6 @@ def churn_labels(events: DataFrame, as_of: str, inactive_days: int = 14) -> Data
     return last.withColumn("churned", F.datediff(F.lit(as_of).cast("date"), "last_day") > inactive_days)
 
 
-def ordered_funnel(events: DataFrame, steps: tuple[str, ...]) -> DataFrame:
-    """(position, step, users): users who took the steps in this order.
-
-    The time of a step is the first one after the step before.  Every step joins its events
-    to one row per user and keeps one row per user again, with a time for each step so far;
-    all steps are counted from the last of these tables, so no step is built twice.
-    """
-    moments = events.where(F.col("event_ts").isNotNull()).select("user_id", "event_ts", "event_name")
-
-    def of(step: str) -> DataFrame:
-        return moments.where(F.col("event_name") == step).select("user_id", "event_ts")
-
-    taken = of(steps[0]).groupBy("user_id").agg(F.min("event_ts").alias("t1"))
-    for position, step in enumerate(steps[1:], 2):
-        before = [F.col(f"t{i}") for i in range(1, position)]
-        # Times before are the same on all rows of a user, so a maximum carries them.
-        taken = (
-            taken.join(of(step), "user_id", "left")
-            .groupBy("user_id")
-            .agg(
-                *[F.max(t).alias(f"t{i}") for i, t in enumerate(before, 1)],
-                F.min(F.when(F.col("event_ts") > before[-1], F.col("event_ts"))).alias(f"t{position}"),
-            )
-        )
-    counted = taken.agg(*[F.count(f"t{i}").alias(f"n{i}") for i in range(1, len(steps) + 1)])
-    rows = [
-        F.struct(F.lit(i).alias("position"), F.lit(step).alias("step"), F.col(f"n{i}").alias("users"))
-        for i, step in enumerate(steps, 1)
-    ]
-    return counted.select(F.inline(F.array(*rows)))
-
-
 def two_variant_test(subjects: DataFrame, variant: Column, success: Column, critical: float = 1.959964) -> DataFrame:
     """One row: rates of variants A and B, z of their difference, whether it is significant."""
     a, b = variant == "A", variant == "B"

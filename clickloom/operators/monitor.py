@@ -76,7 +76,8 @@ def dates_to_check(raw: DataFrame, gold: DataFrame, check_date: date | str | Non
     if check_date is not None:
         return session.range(1).select(F.lit(str(check_date)).cast("date").alias("check_date"))
     if "conversion_time" in gold.columns:
-        return gold.agg(F.max(F.to_date(fields.instant(gold, "conversion_time"))).alias("check_date"))
+        latest = F.max(F.to_date(fields.instant(gold, "conversion_time")))
+        return gold.agg(F.coalesce(latest, F.current_date()).alias("check_date"))
     return session.range(1).select(F.current_date().alias("check_date"))
 
 

@@ -71,26 +71,26 @@ def attribute_since(staged: DataFrame, since: str, settings: Settings = SQL) ->
     start = F.lit(since).cast("timestamp")
     margin = F.expr(f"INTERVAL {settings.lookback_days} DAYS") + F.expr(f"INTERVAL {settings.timeout_minutes} MINUTES")
     overlap = staged.where((F.col("event_date") >= F.to_date(start - margin)) & (F.col("event_ts") >= start - margin))
-    keys = _conversion_keys(settings)
+    keys = conversion_keys(settings)
     seen = conversion_events(staged.where(F.col("event_date") >= F.to_date(start)), settings).select(*keys).distinct()
-    events = conversion_events(staged, settings).alias("e").join(seen.alias("s"), _same("s", "e", keys), "left_semi")
+    events = conversion_events(staged, settings).alias("e").join(seen.alias("s"), same("s", "e", keys), "left_semi")
     fresh = conversions(events, settings).where(F.col("conversion_ts") >= start)
     return attribute(fresh, build_sessions(overlap, settings), settings)
 
 
-def _conversion_keys(settings: Settings) -> list[str]:
+def conversion_keys(settings: Settings) -> list[str]:
     return ["transaction_id", "user_id"] if settings.conversion_dedupe == "latest" else ["transaction_id"]
 
 
-def _same(left: str, right: str, keys: list[str]) -> list[Column]:
+def same(left: str, right: str, keys: list[str]) -> list[Column]:
     return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
 
 
 def _before(gold: DataFrame, fresh: DataFrame, since: str, settings: Settings, how: str) -> DataFrame:
     """Gold rows before a date, with or without a row of their transaction in ``fresh``."""
-    keys = _conversion_keys(settings)
+    keys = conversion_keys(settings)
     old = gold.where(F.col("conversion_time") < F.lit(since).cast("timestamp"))
-    return old.alias("g").join(fresh.select(*keys).alias("f"), _same("g", "f", keys), how)
+    return old.alias("g").join(fresh.select(*keys).alias("f"), same("g", "f", keys), how)
 
 
 def moved(gold: DataFrame, fresh: DataFrame, since: str, settings: Settings = SQL) -> DataFrame:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from clickloom.operators.normalize import stage_events
 from clickloom.operators.sessions import build_sessions
 from clickloom.plans.comparison_sql import COMMON_TABLES
 from clickloom.plans.sample_events import events_table, raw_events
+from clickloom.sources.tables import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 COMPARISONS: dict[str, str] = {}
@@ -45,6 +46,17 @@ class Inputs:
         """The same without the events whose payload is no JSON, which fail a whole file."""
         return self.files.where(F.col("event_data").isNull() | F.try_parse_json("event_data").isNotNull())
 
+    def deliveries(self, part: Column, n: int) -> Iterator[tuple[int, DataFrame]]:
+        """Hand the raw events over in ``n`` deliveries, one after the other, as a file stream over all that has come."""
+        by_part, landing = shared_folder(self.spark, "deliveries"), shared_folder(self.spark, "landing")
+        raw = self.raw
+        raw.withColumn("part", part.cast("int")).write.partitionBy("part").parquet(by_part)
+        schema = T.StructType([*raw.schema.fields, T.StructField("part", T.IntegerType())])
+        for i in range(n):
+            delivered = self.spark.read.schema(schema).parquet(by_part).where(F.col("part") == i).select(*raw.columns)
+            delivered.write.mode("append").parquet(landing)
+            yield i, self.spark.readStream.schema(raw.schema).parquet(landing)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 

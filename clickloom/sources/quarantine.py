@@ -11,7 +11,7 @@ CLEAN, QUARANTINE = "clean", "quarantine"
 REPEAT = "R8_duplicate_row"
 
 
-def _zoned(counted: DataFrame, contract: Contract) -> DataFrame:
+def zoned(counted: DataFrame, contract: Contract) -> DataFrame:
     """Distinct rows with ``firsts`` and ``repeats``, the number of copies not yet and already held as repeats."""
     first = F.least(F.col("firsts"), F.lit(1))
     copies = F.array(
@@ -38,7 +38,7 @@ def route(raw: DataFrame, contract: Contract = DEFAULT) -> DataFrame:
     that could be of any size; a counted row is unfolded again only where it is written.
     """
     counted = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("firsts"), F.lit(0).cast("bigint").alias("repeats"))
-    return _zoned(counted, contract)
+    return zoned(counted, contract)
 
 
 def write_zones(routed: DataFrame, path: str, day: str = "event_date") -> None:
@@ -61,4 +61,4 @@ def replay(quarantined: DataFrame, contract: Contract = DEFAULT) -> DataFrame:
         F.sum(F.when(repeat, 0).otherwise(F.col("rows"))).alias("firsts"),
         F.sum(F.when(repeat, F.col("rows")).otherwise(0)).alias("repeats"),
     )
-    return _zoned(counted, contract)
+    return zoned(counted, contract)

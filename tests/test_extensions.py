@@ -4,7 +4,7 @@ import math
 from builders import clock, purchase, raw, raw_row
 
 from clickloom import SQL
-from clickloom.operators import customers, multi_touch, upkeep
+from clickloom.operators import funnel, multi_touch, upkeep
 from clickloom.operators.attribution import attribute_events
 from clickloom.operators.carts import abandoned_carts
 from clickloom.operators.normalize import stage_events
@@ -93,7 +93,7 @@ def test_ordered_funnel(spark):
     rows = [raw_row("u", clock(minutes=m), n) for m, n in enumerate("abc")]
     rows += [raw_row("v", clock(minutes=m), n) for m, n in enumerate("cba")]
     rows += [raw_row("w", clock(minutes=m), n) for m, n in enumerate("bab")]
-    found = {r.step: r.users for r in customers.ordered_funnel(stage_events(raw(spark, rows)), steps).collect()}
+    found = {r.step: r.users for r in funnel.ordered_funnel(stage_events(raw(spark, rows)), steps).collect()}
     assert found == {"a": 3, "b": 2, "c": 1}
 
 
