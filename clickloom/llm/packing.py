@@ -37,11 +37,14 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.queries import query
 from clickloom.llm.shared import id_and_text, small_batches, table, written
-from clickloom.llm.textcore import lists
+from clickloom.llm.textcore import chunks, lists, span_hashes, words
 
 MAX_TOKENS = 4096
 END_ID = 1
-CACHE_STRETCHES = 600_000
+# Stretches a worker remembers, about 30 bytes each.
+REMEMBERED = 1 << 20
+# Bytes of a longer text that are looked at together.
+PART_BYTES = 1 << 21
 
 
 def default_tokenizer() -> str:
@@ -50,50 +53,139 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordIds(dict):
-    """Ids, as little-endian bytes, of the stretches between ASCII white space.
+# ASCII white space.
+WHITE = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
+
+
+def text_parts(text: bytes, limit: int = PART_BYTES) -> Iterator[bytes]:
+    """The text in parts of about ``limit`` bytes that end with a stretch; a longer stretch stays whole."""
+    at = 0
+    while len(text) - at > limit:
+        cut = max(text.rfind(c, at, at + limit) for c in WHITE)
+        if cut <= at:
+            cut = min((p for c in WHITE if (p := text.find(c, at + limit)) >= 0), default=len(text))
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+class WordIds:
+    """Ids of the stretches between ASCII white space.
 
     The tokenizer drops white space and no token crosses it, so a text's ids are those of
-    its stretches one after another, and a stretch seen before costs one look-up.  Latin
-    letters followed by ASCII signs are two pieces to the tokenizer as well, and case is
-    folded, so such a stretch is put together from its letters and its signs.
+    its stretches one after another.  Stretches are known by 64-bit hashes in sorted
+    arrays, with their ids in a pool: texts are looked up whole, by NumPy.  Past
+    ``remembered`` stretches the half that was used longest ago is forgotten.
+
+    Latin letters followed by ASCII signs are two pieces to the tokenizer as well, and case
+    is folded, so a new stretch is put together from its letters and its signs.
     """
 
     # Letters whose lower case is one letter, and signs that join no letter.
     PLAIN = re.compile("([A-Za-zÀ-ÖØ-Þß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+    # Stands between pieces that are encoded in one call; without it in a piece none gives its id.
+    BORDER = "!"
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def _encode(self, new: list[str]) -> None:
-        for text, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.parts[text] = np.array(found.ids, "<u4").tobytes()
-
-    def learn(self, stretches: set[bytes]) -> None:
-        new = [x for x in stretches if x not in self]
-        if len(self) + len(new) > CACHE_STRETCHES:
-            self.clear()
-            self.parts = {"": b""}
-            new = list(stretches)
-        split, plain = [], self.PLAIN.fullmatch
-        for x in map(bytes.decode, new):
-            m = plain(x)
-            split.append((m[1].lower(), m[2]) if m else (x, ""))
-        parts = self.parts
-        self._encode(list({y for pair in split for y in pair if y not in parts}))
-        for x, (a, b) in zip(new, split, strict=True):
-            self[x] = parts[a] + parts[b]
-
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each UTF-8 text, without end token."""
-        split = [t.split() for t in texts]
-        self.learn(set().union(*split))
-        get = self.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
+        self.border = self.tokenizer.encode(self.BORDER, add_special_tokens=False).ids
+        self.keys, self.pool, self.now = np.zeros(0, np.uint64), np.zeros(0, np.uint32), 0
+        self.first, self.count, self.used = (np.zeros(0, np.int32) for _ in range(3))
+
+    def _one_by_one(self, new: list[str]) -> dict[str, bytes]:
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        return {text: np.array(e.ids, "<u4").tobytes() for text, e in zip(new, found, strict=True)}
+
+    def _encoded(self, new: list[str], at_once: int = 4000) -> list[bytes]:
+        """Ids of pieces without white space, many in one text with borders between them."""
+        out = self._one_by_one([x for x in new if self.BORDER in x] if len(self.border) == 1 else new)
+        rest = [x for x in new if x not in out]
+        for low in range(0, len(rest), at_once):
+            own = rest[low : low + at_once]
+            text = f" {self.BORDER} ".join(own)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = 4 * np.flatnonzero(ids == self.border[0])
+            if len(ends) != len(own) - 1:
+                out.update(self._one_by_one(own))
+                continue
+            raw = ids.tobytes()
+            out.update(
+                (x, raw[a:b]) for x, a, b in zip(own, [0, *(ends + 4).tolist()], [*ends.tolist(), len(raw)], strict=True)
+            )
+        return [out[x] for x in new]
+
+    def _put_together(self, new: list[str]) -> list[bytes]:
+        """Ids of new stretches from those of their letters and signs."""
+        split = [(m[1].lower(), m[2]) if m else (x, "") for x, m in zip(new, map(self.PLAIN.fullmatch, new), strict=True)]
+        parts = list({y for pair in split for y in pair} - {""})
+        data = np.frombuffer(" ".join(parts).encode(), np.uint8)
+        first, count = self._look_up(data, *words(data, np.array([0, len(data)]))[:2], self._encoded)
+        raw = self.pool.tobytes()
+        made = {x: raw[4 * a : 4 * (a + n)] for x, a, n in zip(parts, first.tolist(), count.tolist(), strict=True)} | {"": b""}
+        return [made[a] + made[b] for a, b in split]
+
+    def _look_up(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
+        """(first, count) in the pool of the ids of every span; ``make`` gives those of spans not known yet."""
+        hashes, at, which = np.unique(span_hashes(data, start, stop), return_index=True, return_inverse=True)
+        new = self._unknown(hashes)
+        if new.any():
+            raw = data.tobytes()
+            made = make([raw[a:b].decode() for a, b in zip(start[at[new]].tolist(), stop[at[new]].tolist(), strict=True)])
+            still = self._unknown(hashes)  # some may have been met as parts of others
+            made = [m for m, x in zip(made, still[new].tolist(), strict=True) if x]
+            size = np.array([len(m) // 4 for m in made], np.int32)
+            where = np.searchsorted(self.keys, hashes[still])
+            self.keys = np.insert(self.keys, where, hashes[still])
+            self.first = np.insert(self.first, where, len(self.pool) + np.cumsum(size, dtype=np.int32) - size)
+            self.count, self.used = np.insert(self.count, where, size), np.insert(self.used, where, self.now)
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(made), "<u4")])
+        place = np.searchsorted(self.keys, hashes)
+        self.used[place] = self.now
+        return self.first[place][which], self.count[place][which]
+
+    def _unknown(self, hashes: np.ndarray) -> np.ndarray:
+        place = np.searchsorted(self.keys, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = place < len(self.keys)
+        new[inside] = self.keys[place[inside]] != hashes[inside]
+        return new
+
+    def _forget(self) -> None:
+        kept = np.flatnonzero(self.used >= np.median(self.used)) if len(self.keys) else np.zeros(0, int)
+        kept = kept[: self.remembered // 2]
+        self.pool = self.pool[spread(self.first[kept], self.count[kept])]
+        self.keys, self.count, self.used = self.keys[kept], self.count[kept], self.used[kept]
+        self.first = (np.cumsum(self.count) - self.count).astype(np.int32)
+
+    def of(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of UTF-8 rows one after another, and where each row's begin (one more entry than rows)."""
+        start, stop, word = words(data, starts)
+        self.now += 1
+        if len(self.keys) > self.remembered:
+            self._forget()
+        first, count = self._look_up(data, start, stop, self._put_together)
+        total = np.zeros(len(count) + 1, np.int64)
+        np.cumsum(count, out=total[1:])
+        return self.pool[spread(first, count)], total[word]
+
+    def of_rows(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, some bytes at a time."""
+        for lo, hi, data, starts in chunks(column):
+            if hi - lo == 1 and len(data) > PART_BYTES:
+                parts = [np.frombuffer(p, np.uint8) for p in text_parts(data.tobytes())]
+                yield np.concatenate([self.of(p, np.array([0, len(p)]))[0] for p in parts])
+                continue
+            ids, begin = self.of(data, starts)
+            yield from (ids[a:b] for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True))
+
+
+def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Indices first, first + 1, ... of each run of ``count``, one run after another."""
+    ends = np.cumsum(count, dtype=np.int64)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - count), count)
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -117,18 +209,17 @@ def tokenised_pieces(
     Only longer documents are cut: all pieces but the last are full.
     """
     small_batches(docs.sparkSession)
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = word_ids(tokenizer)
         for batch in batches:
-            found = ids.of(batch.column("text").cast(pa.binary()).to_pylist())
             rows, parts = [], []
-            for doc_id, data in zip(batch.column("doc_id").to_pylist(), found, strict=True):
-                data += end
-                for piece, at in enumerate(range(0, len(data), 4 * max_tokens)):
-                    part = data[at : at + 4 * max_tokens]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), ids.of_rows(batch.column("text")), strict=True):
+                own = np.concatenate([own, end])
+                for piece, at in enumerate(range(0, len(own), max_tokens)):
+                    part = own[at : at + max_tokens]
+                    rows.append((doc_id, piece, at, len(part), zlib.crc32(part)))
                     if with_ids:
                         parts.append(part)
             columns = [
@@ -137,8 +228,9 @@ def tokenised_pieces(
             ] or [pa.array([], t) for t in (pa.int64(), pa.int32(), *[pa.int64()] * 3)]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             if with_ids:
-                first = np.cumsum([0, *(len(p) // 4 for p in parts)])
-                columns.append(lists(np.frombuffer(b"".join(parts), "<u4").astype(np.int32), first, pa.int32()))
+                first = np.cumsum([0, *map(len, parts)])
+                flat = np.concatenate([np.zeros(0, "<u4"), *parts])
+                columns.append(lists(flat.astype(np.int32), first, pa.int32()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 

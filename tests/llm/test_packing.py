@@ -69,3 +69,28 @@ def test_pieces_and_ids(spark):
 
 def test_empty_table(spark):
     assert pack(cases.docs(spark, [])).count() == 0
+
+
+def test_ids_are_the_tokenizers_whatever_is_forgotten():
+    import random
+
+    import pyarrow as pa
+
+    from clickloom.llm.packing import PART_BYTES, WordIds
+
+    r = random.Random(9)
+    signs = "abcXYZäßÉ0123456789!?.,'-_()<|>½ﬁİς́　\x85\x1c漢字😀"
+    texts = [" ".join("".join(r.choice(signs) for _ in range(r.randrange(1, 9))) for _ in range(r.randrange(60))) for _ in range(300)]
+    texts += [None, "", " \t\n", "!", "! !", "<|endoftext|> it's DON'T", "x" * 5000]
+    plain = Tokenizer.from_file(default_tokenizer())
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for remembered in (40, 1 << 20):
+        ids = WordIds(default_tokenizer(), remembered)
+        for low in range(0, len(texts), 50):
+            found = [x.tolist() for x in ids.of_rows(pa.array(texts[low : low + 50], pa.string()))]
+            assert found == want[low : low + 50]
+        assert remembered > 40 or len(ids.keys) < 4000
+    long = " ".join(texts[i % 300] for i in range(PART_BYTES // 80))
+    assert len(long.encode()) > PART_BYTES
+    found = list(ids.of_rows(pa.array(["a b", long, None])))
+    assert found[1].tolist() == plain.encode(long, add_special_tokens=False).ids and len(found) == 3
