@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.queries import query
-from clickloom.llm.shared import id_and_text, small_batches, table, written
+from clickloom.llm.shared import id_and_text, packed, small_batches, table, written
 from clickloom.llm.textcore import LOWER, chunks, span_hashes, spans, windows
 
 SIZE = 8
@@ -218,11 +218,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """The rows of ``docs``, all columns as they are, that leak no item."""
     bad = leaks(docs, benchmark, **options).select(F.col("doc_id").alias("bad_id"), F.col("print").alias("bad_print")).distinct()
     bad = written(bad, "leaking-documents")
-    own = docs.withColumns(
-        {"__id": F.col("doc_id").cast("long"), "__print": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))}
-    )
-    clean = own.join(bad, [own["__id"].eqNullSafe(bad["bad_id"]), own["__print"] == bad["bad_print"]], "left_anti")
-    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = packed(docs).withColumn("print", F.xxhash64("text"))
+    clean = own.join(bad, [own["id"].eqNullSafe(bad["bad_id"]), own["print"] == bad["bad_print"]], "left_anti")
+    return clean.select("row.*")
 
 
 @query("op9_benchmark_decontamination")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.queries import query
-from clickloom.llm.shared import id_and_text, table, written
+from clickloom.llm.shared import id_and_text, packed, table, written
 
 # The characters that do not count when texts are compared.
 IGNORED = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -85,28 +85,21 @@ def exact_duplicates(docs: DataFrame, fan_in: int = 16) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, fan_in: int = 16) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that stay.
+    """The rows of ``docs``, all columns as they are, that stay: one of each group.
 
-    A row stays if it has its group's id and length; of rows that agree in both, one does.
+    It is the first by length, id (null last) and a hash of the whole row, so a rerun keeps the same.
     """
-    own = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__text": F.coalesce(F.col("text").cast("string"), F.lit(""))})
-    own = own.withColumns({"__sha": F.sha2(normalised(F.col("__text")), 256), "__chars": F.length("__text")})
-    runs = own.select(
-        F.spark_partition_id().alias("run"), F.unhex("__sha").alias("sha"), F.lit(0).cast("long").alias("second"),
-        F.lit(0).alias("size"),
-        F.struct((-F.col("__chars")).alias("less"), F.col("__id").isNull().alias("none"), F.col("__id").alias("id")).alias("best"),
-        F.lit(1).cast("long").alias("group_size"),
-    )
+    own = with_digest(packed(docs)).withColumn("chars", F.length("text"))
+    best = F.struct((-F.col("chars")).alias("less"), F.col("id").isNull().alias("none"), "id")
+    runs = own.select(F.spark_partition_id().alias("run"), *KEY, best.alias("best"), F.lit(1).cast("long").alias("group_size"))
     runs = written(runs, "digest-runs")
     last = runs.agg(F.max("run")).first()[0] or 0
     groups = merge_runs(runs, last + 1, fan_in).select(
-        F.lower(F.hex("sha")).alias("of_sha"), F.col("best.id").alias("of_id"), (-F.col("best.less")).alias("of_chars")
+        *[F.col(k).alias(f"of_{k}") for k in KEY], F.col("best.id").alias("of_id"), (-F.col("best.less")).alias("of_chars")
     )
-    stays = (
-        (own["__sha"] == groups["of_sha"]) & own["__id"].eqNullSafe(groups["of_id"]) & (own["__chars"] == groups["of_chars"])
-    )
-    kept = own.join(groups, stays, "left_semi").dropDuplicates(["__sha"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    stays = [own[k] == groups[f"of_{k}"] for k in KEY] + [own["id"].eqNullSafe(groups["of_id"]), own["chars"] == groups["of_chars"]]
+    kept = own.select(*KEY, "id", "chars", "tie", "row").join(groups, stays, "left_semi")
+    return kept.groupBy(*KEY).agg(F.min_by("row", "tie").alias("row")).select("row.*")
 
 
 SQL = r"""

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.queries import query
-from clickloom.llm.shared import id_and_text, small_batches, table, written
+from clickloom.llm.shared import id_and_text, packed, small_batches, table, written
 from clickloom.llm.textcore import chunks, lists, mix, span_hashes, windows, words
 
 SIZE = 5
@@ -329,12 +329,10 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
         .select(F.col("class_id").alias("kept_id"), "kept_print")
         .distinct()
     )
-    own = docs.withColumns(
-        {"__id": F.col("doc_id").cast("long"), "__print": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))}
-    )
-    kept = own.join(first, [own["__id"].eqNullSafe(first["kept_id"]), own["__print"] == first["kept_print"]])
+    own = packed(docs).withColumn("print", F.xxhash64("text"))
+    kept = own.join(first, [own["id"].eqNullSafe(first["kept_id"]), own["print"] == first["kept_print"]], "left_semi")
     # Rows repeated with the same id and text are one document.
-    return kept.dropDuplicates(["__id", "__print"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.groupBy("id", "print").agg(F.min_by("row", "tie").alias("row")).select("row.*")
 
 
 @query("op1_ngram_jaccard_join")

@@ -37,6 +37,15 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     )
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``row``, the whole row, beside ``id``, ``text`` and ``tie``, a hash of the row: no name of ``docs`` can clash with a helper."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text"), row.alias("row")).withColumn(
+        "tie", F.xxhash64(F.col("row").cast("string"))
+    )
+
+
 def fold(doc_id: str = "doc_id", folds: int = 5):
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds

@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import cases
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
@@ -41,6 +42,25 @@ def test_stages(spark, sf_dir, tmp_path):
     assert corpus_pipeline.run(spark, sf_dir).count() == docs.count()
 
 
+def test_no_column_name_clashes(spark):
+    names = ("__id", "__print", "__sha", "kept_id", "kept_print", "bad_id", "of_id", "id", "tie", "print", "sha", "size", "chars", "best", "run", "a.b")
+    docs = cases.docs(spark)
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        kept = stage(spark, docs, "/root/testdata/sf0.001")
+        assert kept.columns == docs.columns
+        for r in kept.collect():
+            own = "none" if r.doc_id is None else r.doc_id
+            assert [r[name] for name in names] == [f"{i}-{own}" for i in range(len(names))]
+
+
+def test_the_kept_copy_does_not_depend_on_the_order(spark):
+    rows = [(7, "a b", "en", f"s{i}", i, "h", i) for i in range(6)]
+    found = {tuple(map(str, without_copies(cases.docs(spark, rows[i:] + rows[:i])).collect())) for i in range(3)}
+    assert len(found) == 1
+
+
 def test_edge_rows_pass_through_all_stages(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(*r[:2], "en", *r[3:]) for r in cases.rows()]
