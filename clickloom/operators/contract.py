@@ -176,31 +176,41 @@ def _folded(raw: DataFrame, name: str, contract: Contract) -> Column:
     return F.coalesce(*names) if names else F.lit(None).cast("string")
 
 
-def day_profile(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
-    """Everything the rules about a whole day need, one row per day from one pass."""
+def day_flags(raw: DataFrame, contract: Contract = DEFAULT) -> dict[str, Column]:
+    """What each event adds to its day: conditions whose counts the rules about a whole day need."""
     moment = fields.instant(raw, "timestamp")
-    payload = F.col("event_data")
 
     def present(name: str) -> Column:
         if "header" in raw.columns:
             accepted = (name, *[a for a, to in contract.aliases.items() if to == name])
-            return F.count_if(fields.either([F.array_contains("header", n) for n in accepted]))
-        return F.count(_folded(raw, name, contract))
-
-    return raw.groupBy(F.col(day).alias("event_date")).agg(
-        F.count(F.lit(1)).alias("total"),
-        *[present(c).alias(f"present_{c}") for c in contract.required_columns],
-        *[F.count(a).alias(f"alternate_{a}") for a in contract.aliases if a in raw.columns],
-        F.count_if(_folded(raw, "client_id", contract).isNull()).alias("null_ids"),
-        F.count_if(F.col("event_name") == "checkout_completed").alias("completed"),
-        F.count_if(F.col("event_name") == "checkout_started").alias("started"),
-        F.count_if(F.col("timestamp").isNotNull() & moment.isNull()).alias("bad_timestamp"),
-        F.count_if(fields.payload_is_broken(payload)).alias("bad_event_data"),
-    )
+            return fields.either([F.array_contains("header", n) for n in accepted])
+        return _folded(raw, name, contract).isNotNull()
+
+    return {
+        "total": F.lit(True),
+        **{f"present_{c}": present(c) for c in contract.required_columns},
+        **{f"alternate_{a}": F.col(a).isNotNull() for a in contract.aliases if a in raw.columns},
+        "null_ids": _folded(raw, "client_id", contract).isNull(),
+        "completed": F.col("event_name") == "checkout_completed",
+        "started": F.col("event_name") == "checkout_started",
+        "bad_timestamp": F.col("timestamp").isNotNull() & moment.isNull(),
+        "bad_event_data": fields.payload_is_broken(F.col("event_data")),
+    }
+
+
+def day_profile(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
+    """Everything the rules about a whole day need, one row per day from one pass."""
+    counts = [F.count_if(test).alias(name) for name, test in day_flags(raw, contract).items()]
+    return raw.groupBy(F.col(day).alias("event_date")).agg(*counts)
 
 
 def day_violations(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
-    """Violations of the rules about a whole day.
+    """Violations of the rules about a whole day; see ``judged_days``."""
+    return judged_days(day_profile(raw, day, contract), contract)
+
+
+def judged_days(profile: DataFrame, contract: Contract = DEFAULT) -> DataFrame:
+    """Violations of the rules about a whole day, from its profile.
 
     R1: a required column the day lacks (one without a single value counts as absent).
     P3: an alternate column name is in use; the events themselves are normalised.
@@ -227,7 +237,7 @@ def day_violations(raw: DataFrame, day: str = "event_date", contract: Contract =
         for c in contract.required_columns
     ]
     for alternate in contract.aliases:
-        if alternate in raw.columns:
+        if f"alternate_{alternate}" in profile.columns:
             test, n = above_zero(f"alternate_{alternate}")
             findings.append(found(test, "P3_alternate_column", "WARNING", "schema_drift", alternate, n))
     findings.append(
@@ -250,9 +260,8 @@ def day_violations(raw: DataFrame, day: str = "event_date", contract: Contract =
         test, n = above_zero(f"bad_{column}")
         findings.append(found(test, "R14_column_type", "WARNING", "column_type", column, n))
     return (
-        day_profile(raw, day, contract)
         # The window is unpartitioned, but over one row per day; rows without a day have no place in it.
-        .withColumn("usual_total", F.when(F.col("event_date").isNotNull(), F.avg("total").over(before)))
+        profile.withColumn("usual_total", F.when(F.col("event_date").isNotNull(), F.avg("total").over(before)))
         .select("event_date", F.explode(F.filter(F.array(*findings), lambda f: f.isNotNull())).alias("f"))
         .select("f.rule", "f.severity", "f.code", "event_date", "f.key", "f.n")
     )
@@ -271,21 +280,62 @@ def repeated_rows(raw: DataFrame, day: str = "event_date") -> DataFrame:
 
 def repeated_transactions(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
     """R9: events per day and transaction, for transactions seen more than once."""
-    return duplicate_transactions(raw, day, contract.transaction_keys).select(
+    return _transaction_findings(duplicate_transactions(raw, day, contract.transaction_keys).withColumnRenamed(day, "event_date"))
+
+
+def _transaction_findings(places: DataFrame) -> DataFrame:
+    return places.select(
         *_labels("R9_duplicate_transaction", "CRITICAL", "duplicate_transaction"),
-        F.col(day).alias("event_date"),
+        "event_date",
         F.col("transaction").alias("key"),
         F.col("occurrences").alias("n"),
     )
 
 
 def contract_violations(raw: DataFrame, day: str = "event_date", contract: Contract = DEFAULT) -> DataFrame:
-    """(rule, severity, code, event_date, key, n) over all rules."""
+    """(rule, severity, code, event_date, key, n) over all rules, in three passes over the events.
+
+    One pass gives every rule that looks at a row, a day or a transaction: each event is
+    unfolded into the facts it adds, and facts are counted with map-side combine.  The
+    branches that read these counts share that one exchange: they are told apart by an
+    aggregate, which Spark can't push below it.  The other two passes find exact copies.
+    """
+    flags = day_flags(raw, contract)
+    flagged = raw.withColumn("flags", F.struct(*[test.alias(name) for name, test in flags.items()]))
+    tagged = tag_rows(flagged, contract)
+    nothing = F.lit(None).cast("string")
+    none = F.lit(None).cast(flagged.schema["flags"].dataType)
+
+    def fact(kind: str, rule=nothing, severity=nothing, code=nothing, key=nothing, own=none) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), rule.alias("rule"), severity.alias("severity"), code.alias("code"), key.alias("key"), own.alias("flags")
+        )
+
+    transaction = F.when(is_conversion(), fields.first_truthy(F.col("event_data"), contract.transaction_keys))
+    facts = F.concat(
+        F.array(fact("day", own=F.col("flags"))),
+        F.filter(F.array(F.when(transaction.isNotNull(), fact("transaction", key=transaction))), lambda f: f.isNotNull()),
+        F.transform("findings", lambda f: fact("finding", f["rule"], f["severity"], f["code"], f["key"])),
+    )
+    keys = ["event_date", "kind", "rule", "severity", "code", "key"]
+    counted = (
+        tagged.select(F.col(day).alias("event_date"), F.explode(facts).alias("f"))
+        .select("event_date", "f.*")
+        .groupBy(*keys)
+        .agg(F.max("kind").alias("what"), F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"flags.{f}")).alias(f) for f in flags])
+    )
+
+    def of(kind: str) -> DataFrame:
+        return counted.where(F.col("what") == kind)
+
+    columns = ["rule", "severity", "code", "event_date", "key", "n"]
+    placed = of("transaction").select("event_date", F.col("key").alias("transaction"), F.col("n").alias("occurrences"))
+    repeated = placed.groupBy("transaction").agg(F.sum("occurrences").alias("all")).where("all > 1").select("transaction")
     parts = [
-        day_violations(raw, day, contract),
-        row_violations(raw, day, contract),
+        judged_days(of("day").select("event_date", *flags), contract),
+        of("finding").select(columns),
         repeated_rows(raw, day),
-        repeated_transactions(raw, day, contract),
+        _transaction_findings(placed.join(repeated, "transaction", "left_semi")),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -5,8 +5,9 @@ Nothing after the cut can reach a feature: the two sides are separate aggregates
 two sides of the cut.  Users are held out by a hash of their id, so a user is never on
 both sides of the split and a rerun splits alike.
 
-Defined results: users without an event before the cut have no row; a model needs both
-outcomes among its training rows and is refused otherwise.
+Defined results: users without an event before the cut have no row; where the training
+users have one outcome only, or there are none, there is no model to fit: every user
+scores that outcome (or NULL).  A value model without training purchases predicts 0.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,7 +65,7 @@ def churn_examples(events: DataFrame, cut: str, horizon_days: int, recent_days:
 
 @dataclass
 class Churn:
-    model: PipelineModel
+    model: PipelineModel | None
     scores: DataFrame  # user_id, held_out, churned, score
     auc: float | None  # on held-out users; None if they have one outcome only
     recency_auc: float | None  # of ordering them by recency alone
@@ -86,8 +87,10 @@ def fit_churn(examples: DataFrame, features: tuple[str, ...] = CHURN_FEATURES, s
     """Logistic regression on the users that are not held out, and the scores of all."""
     rows = examples.withColumns({"held_out": held_out(F.col("user_id")), "label": F.col("churned").cast("double")})
     train = rows.where("NOT held_out")
-    if train.select("churned").distinct().count() < 2:
-        raise ValueError("the training users have one outcome only")
+    outcomes = [r[0] for r in train.select("churned").distinct().collect()]
+    if len(outcomes) < 2:
+        always = F.lit(float(outcomes[0]) if outcomes else None).cast("double")
+        return Churn(None, rows.select("user_id", "held_out", "churned", always.alias("score")), None, None)
     skewed = ("events", "recent_events", "purchases", "revenue")
     shaped = {f: F.log1p(F.greatest(F.col(f), F.lit(0.0))) if f in skewed else F.col(f) for f in features}
     stages = [
@@ -132,12 +135,14 @@ def value_examples(daily: DataFrame, cut: str, period_days: int) -> DataFrame:
 
 @dataclass
 class Value:
-    rate: GeneralizedLinearRegression
-    spend: GeneralizedLinearRegression
+    rate: GeneralizedLinearRegressionModel | None
+    spend: GeneralizedLinearRegressionModel | None
     factor: float  # what calibration multiplies predictions by
 
     def predict(self, examples: DataFrame) -> DataFrame:
         """The examples with ``predicted``: purchases times spend per purchase, calibrated."""
+        if self.rate is None:
+            return examples.withColumn("predicted", F.lit(0.0))
         rows = with_vector(examples)
         rows = self.rate.transform(rows).withColumnRenamed("prediction", "purchases_expected")
         rows = self.spend.transform(rows).withColumnRenamed("prediction", "spend_expected")
@@ -159,8 +164,10 @@ def fit_value(examples: DataFrame, strength: float = 0.01) -> Value:
     rows = with_vector(examples).withColumn("out", held_out(F.col("user_id")))
     train = rows.where("NOT out")
     common = {"featuresCol": "features", "link": "log", "regParam": strength, "maxIter": 50}
-    rate = GeneralizedLinearRegression(family="poisson", labelCol="next_purchases", **common).fit(train)
     buyers = train.where("next_purchases > 0 AND next_revenue > 0")
+    if buyers.isEmpty():
+        return Value(None, None, 1.0)
+    rate = GeneralizedLinearRegression(family="poisson", labelCol="next_purchases", **common).fit(train)
     buyers = buyers.withColumn("per_purchase", F.col("next_revenue") / F.col("next_purchases"))
     spend = GeneralizedLinearRegression(family="gamma", labelCol="per_purchase", **common).fit(buyers)
     model = Value(rate, spend, 1.0)

@@ -1,6 +1,6 @@
 """Shared tables of the comparison SQL (DuckDB dialect), in dependency order."""
 
-from clickloom.plans.sample_events import RAW_ONCE_SQL
+from clickloom.plans.sample_events import CUT_DAY, RAW_ONCE_SQL
 
 _HOST = "lower(nullif(regexp_extract(coalesce(referrer, ''), 'https?://([^/]+)', 1), ''))"
 
@@ -90,7 +90,9 @@ COMMON_TABLES = {
     "base": "SELECT *, CAST(ts AS DATE) AS d, 'u' || CAST(user_id AS VARCHAR) AS u FROM events",
     "once": RAW_ONCE_SQL,
     "raw": "SELECT * FROM once UNION ALL SELECT * FROM once WHERE event_id % 97 = 0",
-    "sound": "SELECT * FROM raw WHERE event_data IS NULL OR json_valid(event_data)",
+    "mended": f"""
+      SELECT * REPLACE (CASE WHEN event_data LIKE '{{"order_id"%' AND NOT event_data LIKE '%}}' AND event_date <> DATE '{CUT_DAY}'
+        THEN event_data || '}}' ELSE event_data END AS event_data) FROM raw""",
     "staged": f"""
       SELECT coalesce(cid_old, cid_new) AS user_id, {json_number("value")} AS revenue, {_STAGED}
       FROM raw WHERE coalesce(cid_old, cid_new) IS NOT NULL""",

@@ -58,14 +58,14 @@ def _(x):
     return quality.dq_report(x.files)
 
 
-@query("q8_dq_report", with_changes(report_sql("sound")))
+@query("q8_dq_report", with_changes(report_sql("mended")))
 def _(x):
-    return quality.dq_report(x.sound_files)
+    return quality.dq_report(x.mended_files)
 
 
-@query("q3_dq_report_worst_status", f"SELECT file, status FROM ({report_sql('sound', 'greatest(by_nulls, by_columns)')})")
+@query("q3_dq_report_worst_status", f"SELECT file, status FROM ({report_sql('mended', 'greatest(by_nulls, by_columns)')})")
 def _(x):
-    return quality.dq_report(x.sound_files, status_rule="max").select("file", "status")
+    return quality.dq_report(x.mended_files, status_rule="max").select("file", "status")
 
 
 @query("q7_report_of_delivered_files", f"""
@@ -80,9 +80,9 @@ def _(x):
 def _part(name: str, *columns: str) -> None:
     quoted = ", ".join(f'"{c}"' for c in columns)
 
-    @query(name, f"SELECT file, {quoted} FROM ({report_sql('sound')})")
+    @query(name, f"SELECT file, {quoted} FROM ({report_sql('mended')})")
     def _(x: Inputs):
-        return quality.dq_report(x.sound_files).select("file", *columns)
+        return quality.dq_report(x.mended_files).select("file", *columns)
 
 
 _part("q1_schema_drift", "alerts")
@@ -95,11 +95,11 @@ _part("q6_event_breakdown", "event_breakdown")
 
 @query("q9_cross_file_transactions", f"""
 SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_transaction_rows FROM (
-  SELECT {TRANSACTION} AS t, count(*) AS n FROM sound WHERE {BUYS} GROUP BY 1) WHERE t IS NOT NULL AND n > 1""")
+  SELECT {TRANSACTION} AS t, count(*) AS n FROM mended WHERE {BUYS} GROUP BY 1) WHERE t IS NOT NULL AND n > 1""")
 def _(x):
     from clickloom.operators.duplicates import duplicate_transaction_count
 
-    return duplicate_transaction_count(x.sound_files, "file")
+    return duplicate_transaction_count(x.mended_files, "file")
 
 
 # ---------------------------------------------------------------------------- contract

@@ -120,8 +120,9 @@ def _(x):
 REQUESTS = "SELECT user_id FROM staged WHERE event_name = 'checkout_completed' AND revenue > 200"
 
 
-def _after_deletion(x: Inputs):
-    store = loaded(x)
+def _before_deletion(x: Inputs):
+    store = DayStore(x.spark, shared_folder(x.spark, "store"))
+    incremental.load_batch(store, x.raw, incremental.STEP)
     bought = (F.col("event_name") == "checkout_completed") & (F.col("revenue") > 200)
     requests = store.read(incremental.EVENTS).where(bought).select("user_id")
     return store, requests
@@ -132,7 +133,7 @@ SELECT 'events' AS name, count(*) AS n FROM staged WHERE user_id NOT IN ({REQUES
 UNION ALL SELECT 'gold', count(*) FROM gold WHERE user_id NOT IN ({REQUESTS})
 UNION ALL SELECT 'day_users', count(*) FROM (SELECT DISTINCT user_id, event_date FROM staged WHERE user_id NOT IN ({REQUESTS}))""")
 def _(x):
-    store, requests = _after_deletion(x)
+    store, requests = _before_deletion(x)
     incremental.delete_users(store, requests, incremental.next_version(store))
     store.vacuum()
     counts = [store.read(name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name in ("events", "gold", "day_users")]
@@ -144,7 +145,7 @@ SELECT 'events' AS name, count(*) AS rows_removed FROM staged WHERE user_id IN (
 UNION ALL SELECT 'gold', count(*) FROM gold WHERE user_id IN ({REQUESTS})
 UNION ALL SELECT 'day_users', count(*) FROM (SELECT DISTINCT user_id, event_date FROM staged WHERE user_id IN ({REQUESTS}))""")
 def _(x):
-    store, requests = _after_deletion(x)
+    store, requests = _before_deletion(x)
     receipt = incremental.delete_users(store, requests, incremental.next_version(store))
     return receipt.where("name <> 'conversion_state'").select("name", "rows_removed")
 

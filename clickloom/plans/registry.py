@@ -14,7 +14,7 @@ from clickloom.operators.attribution import attribute_events
 from clickloom.operators.normalize import stage_events
 from clickloom.operators.sessions import build_sessions
 from clickloom.plans.comparison_sql import COMMON_TABLES
-from clickloom.plans.sample_events import events_table, raw_events
+from clickloom.plans.sample_events import CUT_DAY, events_table, raw_events
 from clickloom.sources.tables import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,9 +42,11 @@ class Inputs:
         return self.raw.withColumn("file", F.date_format("event_date", "'events_'yyyyMMdd'.csv'"))
 
     @property
-    def sound_files(self) -> DataFrame:
-        """The same without the events whose payload is no JSON, which fail a whole file."""
-        return self.files.where(F.col("event_data").isNull() | F.try_parse_json("event_data").isNotNull())
+    def mended_files(self) -> DataFrame:
+        """The same with cut payloads closed on all days but one: a payload that is no JSON fails a whole file."""
+        cut = F.col("event_data").startswith('{"order_id"') & ~F.col("event_data").endswith("}")
+        mended = F.when(cut & (F.col("event_date") != F.lit(CUT_DAY).cast("date")), F.concat("event_data", F.lit("}")))
+        return self.files.withColumn("event_data", F.coalesce(mended, "event_data"))
 
     def deliveries(self, part: Column, n: int) -> Iterator[tuple[int, DataFrame]]:
         """Hand the raw events over in ``n`` deliveries, one after the other, as a file stream over all that has come."""

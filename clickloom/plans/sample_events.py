@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The one day whose cut payloads are left as they are where all others are mended.
+CUT_DAY = "2024-01-17"
+
 EVENT_NAMES = {
     "view": "page_viewed",
     "click": "product_added_to_cart",

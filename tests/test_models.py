@@ -45,10 +45,18 @@ def test_auc_of_known_orders(spark):
     assert models.auc(spark.createDataFrame(rows[:1], "score double, churned boolean")) is None
 
 
-def test_one_outcome_is_refused(spark):
+def test_one_outcome_is_every_score(spark):
     events = stage_events(raw(spark, [raw_row(f"u{i}", clock(days=i % 3)) for i in range(30)]))
-    with pytest.raises(ValueError, match="one outcome"):
-        models.fit_churn(models.churn_examples(events, CUT, 7))
+    fitted = models.fit_churn(models.churn_examples(events, CUT, 7))
+    assert fitted.model is None and fitted.auc is None and {r.score for r in fitted.scores.collect()} == {1.0}
+    none = models.fit_churn(models.churn_examples(events, "2024-01-01", 7))
+    assert none.scores.count() == 0
+
+
+def test_no_purchases_predict_nothing(spark):
+    daily = spark.createDataFrame([], "user_id long, day date, purchases long, revenue double")
+    model = models.fit_value(models.value_examples(daily, "2025-03-02", 30))
+    assert model.predict(models.value_examples(daily, "2025-03-02", 30)).count() == 0
 
 
 def test_value_model_is_better_than_the_last_period(spark):

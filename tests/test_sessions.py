@@ -4,6 +4,8 @@ from datetime import datetime, timedelta
 import brute_force
 import pytest
 from builders import PIPELINE_ROWS, clock, purchase, raw, raw_row
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from clickloom import PANDAS, SQL, Settings
 from clickloom.operators.attribution import attribute, attribute_events
@@ -218,3 +220,32 @@ def test_both_ways_of_attribution_agree(spark, sf_dir, settings):
     direct = attribute_events(staged, settings)
     by_table = attribute(conversions(staged, settings), build_sessions(staged, settings), settings)
     assert direct.exceptAll(by_table).count() == 0 and direct.count() == by_table.count() > 0
+
+
+@pytest.mark.parametrize("settings", [SQL, PANDAS])
+def test_session_starts_over_many_ranges(spark, settings):
+    r, rows, key = random.Random(11), [], 0
+    for user, n in [("hot", 3000), ("warm", 400), *[(f"u{i}", r.randrange(1, 6)) for i in range(200)]]:
+        at = 0
+        for _ in range(n):
+            at += r.choice((0, 1, 60, 1799, 1800, 1801, 7200))
+            key += 1
+            rows.append((user, at, key))
+    events = spark.createDataFrame(rows, "user_id string, at long, event_key long").select(
+        "user_id", F.timestamp_seconds("at").alias("event_ts"), "event_key"
+    )
+    line = Window.partitionBy("user_id").orderBy("event_ts", "event_key")
+    wanted = events.withColumn("prev_ts", F.lag("event_ts").over(line))
+    gap = F.unix_seconds("event_ts") - F.unix_seconds("prev_ts")
+    new = F.col("prev_ts").isNull() | (gap >= 1800 if settings.boundary == "ge" else gap > 1800)
+    wanted = wanted.withColumn("is_new_session", new).withColumn("session_seq", F.sum(new.cast("long")).over(line))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        found = flag_session_starts(events, settings).drop("session_id").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    columns = found[0].__fields__
+    assert sorted(map(tuple, found)) == sorted(map(tuple, wanted.select(*columns).collect()))
