@@ -91,6 +91,7 @@ def _alert(severity: str, code: str, message: Column | str, **details: Column) -
     )
 
 
+# The codes and message texts of the alerts below.
 def _schema_alerts(raw: DataFrame, gold: DataFrame) -> list[Column]:
     raw = fold_aliases(raw)
     lost = [_alert("P0", "MISSING_RAW_COL", f"Missing Raw Column: {c}") for c in RAW_COLUMNS if c not in raw.columns]

@@ -20,6 +20,7 @@ def purchase(user, when, transaction, value, referrer=""):
     return raw_row(user, when, "purchase", "/checkout", referrer, payload)
 
 
+# The twelve rows whose sessions and channels the pipeline checks expect.
 PIPELINE_ROWS = [
     raw_row("user_A", "2025-11-01T10:00:00Z", path="/home"),
     raw_row("user_B", "2025-11-02T10:00:00Z", path="/p1", referrer="https://google.com"),
