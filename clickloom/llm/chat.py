@@ -4,14 +4,20 @@ A turn is ``<s>[INST] role [/INST]text</s>``.  Control strings inside roles and
 broken by a backslash after their first character, and backslashes are doubled, so the
 rendered text reads back to exactly the turns it came from.
 
-A conversation is rendered whole and encoded once, with offsets.  Tokens tile the text:
-what a token's offsets leave out before it belongs to it.  The turns under the loss are
-sorted spans, so the tokens that touch each are found by binary search, and the mask of a
-token is its part inside the span.
+The three marks are tokens of their own, added to the vocabulary for the session, so a token
+ends where a role or text begins and ends, and no merge reaches over a mark.
+
+A conversation is rendered whole and encoded once, with offsets.  The turns under the loss
+are sorted spans, so the tokens of each are found by binary search.  What the query reports
+is read back from the mask: the runs of masked tokens, whole, as spans of the rendered text.
 
 Rows arrive sorted by conversation and turn, and a task holds one conversation's rendered
-text at a time; past ``SEGMENT`` characters it is rendered and encoded in stretches that
-end with a turn, so a conversation of any length needs bounded memory.
+text at a time.  Past ``SEGMENT`` characters it is encoded in stretches that end with a mark;
+no merge crosses a mark, so the ids are those of the whole text, and a conversation of any
+length needs bounded memory beside its longest turn.
+
+The tokenizer's tokens must cover the text (byte-level vocabularies do); one that leaves
+text out or merges over a mark is refused.
 
 Defined results: a null text or role is empty; turns of equal number are ordered by role
 and text, a null turn comes first; rows of null ``conv_id`` are one conversation; repeated
@@ -74,24 +80,42 @@ def turns_of(rendered: str) -> list[tuple[str, str]]:
     return [(unescape(role), unescape(text)) for role, text in TURN.findall(rendered)]
 
 
-def tile(offsets: list[tuple[int, int]], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Token spans that leave no character out."""
-    stop = np.maximum.accumulate(np.array([b for _, b in offsets], np.int64)) if offsets else np.zeros(0, np.int64)
-    if len(stop):
-        stop[-1] = length
-    return np.r_[0, stop[:-1]].astype(np.int64)[: len(stop)], stop
+def load(path: str):
+    """The tokenizer with the marks as tokens of their own."""
+    from tokenizers import AddedToken, Tokenizer
+
+    encoder = Tokenizer.from_file(path)
+    encoder.encode_special_tokens = True  # in a text they are ordinary text
+    encoder.add_tokens([AddedToken(mark, normalized=False, special=False) for mark in (START, MIDDLE, END)])
+    return encoder
+
 
+def token_spans(offsets: list[tuple[int, int]], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, stop) of the tokens, which must cover the text; several may be pieces of one character."""
+    flat = np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(offsets))
+    start, stop = flat[::2], flat[1::2]
+    if (np.r_[start, length] > np.r_[0, stop]).any():
+        raise ValueError("the tokenizer leaves text out of its tokens")
+    return start, stop
 
-def loss_mask(start: np.ndarray, stop: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
-    """Tokens that touch a span, and for every span the parts of tokens inside it."""
-    mask, parts = np.zeros(len(start), bool), []
+
+def loss_mask(start: np.ndarray, stop: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """Whether a token lies in one of the sorted spans; spans end where tokens end."""
+    spans = spans[spans[:, 1] > spans[:, 0]]
     low = np.searchsorted(stop, spans[:, 0], "right")
     high = np.searchsorted(start, spans[:, 1], "left")
-    for (a, b), i, j in zip(spans.tolist(), low, high, strict=True):
-        inside = np.arange(i, j)[stop[i:j] > start[i:j]]  # a token may be a piece of a character only
-        mask[i:j] = b > a
-        parts.append(list(zip(np.maximum(start[inside], a).tolist(), np.minimum(stop[inside], b).tolist(), strict=True)))
-    return mask, parts
+    if (start[low] != spans[:, 0]).any() or (stop[high - 1] != spans[:, 1]).any():
+        raise ValueError("a token reaches over a mark")
+    change = np.zeros(len(start) + 1, np.int64)
+    change[low] += 1
+    change[high] -= 1
+    return np.cumsum(change[:-1]) > 0
+
+
+def masked_runs(mask: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
+    """(start, stop) in the text of every run of masked tokens."""
+    edge = np.flatnonzero(np.diff(np.r_[False, mask, False]))
+    return list(zip(start[edge[::2]].tolist(), stop[edge[1::2] - 1].tolist(), strict=True))
 
 
 class Conversation:
@@ -114,13 +138,13 @@ class Conversation:
         rendered, spans = render(self.held)
         self.held, self.size = [], 0
         found = self.tokenizer.encode(rendered, add_special_tokens=False)
-        start, stop = tile(found.offsets, len(rendered))
-        mask, parts = loss_mask(start, stop, spans)
+        start, stop = token_spans(found.offsets, len(rendered))
+        mask = loss_mask(start, stop, spans)
         for role, text in turns_of(rendered):
             self.turns_digest.update(f"{role}\n{text}\n".encode())
             self.turns += 1
-        for span in parts:
-            text = unescape("".join(rendered[a:b] for a, b in span))
+        for a, b in masked_runs(mask, start, stop):
+            text = unescape(rendered[a:b])
             self.loss_chars += len(text)
             self.loss_digest.update(text.encode())
         self.chars += len(rendered)
@@ -169,10 +193,7 @@ def format_chats(conversations: DataFrame, tokenizer: str | None = None, with_to
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_file(path)
-        encoder.encode_special_tokens = True  # in a text they are ordinary text
+        encoder = load(path)
         now, done = None, []
         for batch in batches:
             for conv_id, _, role, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):

@@ -5,7 +5,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from clickloom.llm import chat
-from clickloom.llm.chat import PROBE, escape, format_chats, render, turns_of, unescape
+from clickloom.llm.chat import PROBE, escape, format_chats, load, render, turns_of, unescape
 
 NASTY = st.lists(st.sampled_from(["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", "/s>", "[", "INST]", " ", "\n", "é", "😀", "a"])).map("".join)
 
@@ -50,6 +50,50 @@ def test_against_brute_force(spark, monkeypatch, segment):
     for r in found:
         assert r.formatted_chars == len(r.formatted) and len(r.input_ids) == len(r.loss_mask)
         assert any(r.loss_mask) == (r.loss_chars > 0)
+        assert r.input_ids == load(chat.default_tokenizer()).encode(r.formatted, add_special_tokens=False).ids
+
+
+PIECES = ["(yes)", "fine.", "]ok", "]", "[", "<", "</", "s>", "<s>", "</s>", "[/INST]", " [/INST", "\\\\", " ", "  ", "\\n", "é", "😀", "日本", "a", "INST"]
+SAID = st.lists(st.sampled_from(PIECES)).map("".join)
+
+
+def by_position(turns, encoder):
+    """Ids and mask put together turn by turn, each role and text encoded alone."""
+    ids, mask = [], []
+    for role, text in turns:
+        for part, said in ((chat.START, False), (escape(role), False), (chat.MIDDLE, False), (escape(text), role == "assistant"), (chat.END, False)):
+            found = encoder.encode(part, add_special_tokens=False).ids
+            ids += found
+            mask += [said] * len(found)
+    return ids, mask
+
+
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "", "x ["]), SAID), max_size=6), st.sampled_from([1, 8, 1 << 20]))
+def test_mask_token_by_token(turns, segment):
+    encoder = load(chat.default_tokenizer())
+    before, chat.SEGMENT = chat.SEGMENT, segment
+    try:
+        conversation = chat.Conversation(1, encoder, True)
+        for role, text in turns:
+            conversation.add(role, text)
+        _, n, _, loss_chars, digest, _, formatted, ids, mask = conversation.row()
+    finally:
+        chat.SEGMENT = before
+    assert (ids, mask) == by_position(turns, encoder)
+    assert ids == encoder.encode(formatted, add_special_tokens=False).ids
+    said = "".join(text for role, text in turns if role == "assistant")
+    masked = encoder.decode([i for i, m in zip(ids, mask, strict=True) if m], skip_special_tokens=False)
+    assert unescape(masked) == said and n == len(turns)
+    assert (loss_chars, digest) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+
+
+def test_a_tokenizer_that_drops_text_is_refused():
+    import public_tokenizers
+
+    conversation = chat.Conversation(1, load(public_tokenizers.path("word_bpe_49k.json")), True)
+    conversation.add("assistant", "two  words")
+    with pytest.raises(ValueError):
+        conversation.row()
 
 
 def test_empty_table(spark):
