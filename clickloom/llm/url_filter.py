@@ -1,13 +1,18 @@
 """URL verdicts from rules and, where no rule fits, from a tree of path templates per host.
 
 Rules are hosts with a path prefix; the longest that fits decides.  The pages rules decide
-are the labelled ones.  Of every host a tree of path templates is grown, level by level:
+are the labelled ones.  Digits in a segment become ``N``, and of every host a tree of path
+templates is grown, a round for each level of branching:
 
-* digits in a segment become ``N``;
-* below a node with more than ``max_children`` different segments, all are one wildcard;
-* otherwise siblings whose share of blocked labels does not differ from their pooled share
-  by ``z`` standard errors are merged into one branch;
-* segments past ``depth`` are one.
+* a node is opened while its labels support it: at least ``support`` of them, of both
+  kinds, on more than one path.  What lies below any other node is one template;
+* an opened node goes down to the first segment in which its paths differ.  Of the branches
+  there, those whose share of blocked labels does not differ from the node's by ``z``
+  standard errors (more among many branches, where some stand out by chance) are merged
+  into one wildcard, and the others stay apart.
+
+Neither depth nor width is limited: a branch that stands out among thousands is kept, and
+a round goes on with opened nodes only.
 
 A template is rejected if its blocked share among labelled pages, smoothed towards its
 host's and that towards the whole, is above ``reject``.
@@ -22,6 +27,8 @@ pages everything is allowed.  An empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +43,7 @@ RULES = {
     "com/fr/": "allow",
     "com/de/": "block",
 }
-DEPTH = 4
-MAX_CHILDREN = 12
+SUPPORT = 5
 Z = 1.96
 SMOOTHING = 5.0
 REJECT = 0.5
@@ -63,46 +69,75 @@ def matching_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return found
 
 
-def shapes(path: Column, depth: int) -> Column:
-    """Generalised segments, those past ``depth`` as one."""
+def shapes(path: Column) -> Column:
+    """Generalised segments."""
     parts = F.split(F.regexp_replace(F.substr(path, F.lit(2)), "[0-9]+", "N"), "/")
-    long = F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))
-    return F.when(path == "", F.array().cast("array<string>")).when(F.size(parts) > depth, long).otherwise(parts)
+    return F.when(path == "", F.array().cast("array<string>")).otherwise(parts)
 
 
-def grow(paths: DataFrame, depth: int, max_children: int, z: float) -> DataFrame:
-    """``paths`` (host, shape, n, labelled, blocked) with the template of each, level by level."""
-    counts = [F.sum(c).alias(c) for c in ("labelled", "blocked")]
-    tree = paths.withColumn("template", F.lit(""))
-    for level in range(depth + 1):
-        segment = F.get("shape", F.lit(level))
-        tree = tree.withColumn("segment", segment)
-        nodes = tree.where(F.col("segment").isNotNull()).groupBy("host", "template", "segment").agg(*counts)
-        pooled = nodes.groupBy("host", "template").agg(
-            F.count("*").alias("children"), F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked")
+def path_text(segments: Column) -> Column:
+    """Segments as text, each with its slash before it."""
+    return F.array_join(F.transform(segments, lambda part: F.concat(F.lit("/"), part)), "")
+
+
+def left_of_path() -> Column:
+    """What of a row's path lies below its node."""
+    return F.slice("shape", F.col("level") + 1, F.size("shape"))
+
+
+def nodes_of(rows: DataFrame, support: float) -> DataFrame:
+    """(host, template, share, opened, same, fork, trunk) of every node; ``fork`` is where its paths part."""
+    # The first and the last path in order agree on what all agree on.
+    differs = F.transform(F.arrays_zip("low", "high"), lambda pair: ~pair["low"].eqNullSafe(pair["high"]))
+    totals = rows.groupBy("host", "template", "level").agg(
+        F.sum("labelled").alias("n"), F.sum("blocked").alias("k"), F.min(left_of_path()).alias("low"), F.max(left_of_path()).alias("high")
+    )
+    agree = F.array_position(differs, True).cast("int") - 1
+    same = F.col("low") == F.col("high")
+    opened = (F.col("n") >= support) & (F.col("k") > 0) & (F.col("k") < F.col("n")) & ~same
+    return totals.select(
+        "host", "template", (F.col("k") / F.greatest("n", F.lit(1))).alias("share"), opened.alias("opened"), same.alias("same"),
+        (F.col("level") + agree).alias("fork"), F.when(opened, path_text(F.slice("low", F.lit(1), agree))).alias("trunk"),
+    )
+
+
+def grow(paths: DataFrame, support: float, z: float) -> DataFrame:
+    """``paths`` (host, shape, labelled, blocked) with the template of each, round by round."""
+    columns = ["host", "shape", "labelled", "blocked", "template"]
+    left = written(paths.withColumns({"template": F.lit(""), "level": F.lit(0)}), "url-tree")
+    grown = []
+    while not left.isEmpty():
+        rows = written(left.join(nodes_of(left, support), ["host", "template"]), "url-nodes")
+        rest = F.when(F.col("same"), path_text(left_of_path()))
+        rest = F.coalesce(rest, F.when(F.size("shape") > F.col("level"), F.lit("/**")), F.lit(""))
+        grown.append(rows.where(~F.col("opened")).withColumn("template", F.concat("template", rest)).select(columns))
+        rows = rows.where("opened").withColumn("segment", F.get("shape", F.col("fork")))
+        ends = rows.where(F.col("segment").isNull()).withColumn("template", F.concat("template", "trunk"))
+        grown.append(ends.select(columns))
+        rows = rows.where(F.col("segment").isNotNull())
+        branches = rows.groupBy("host", "template", "segment").agg(
+            F.sum("labelled").alias("n"), F.sum("blocked").alias("k"), F.first("share").alias("share")
         )
-        share = F.col("all_blocked") / F.greatest("all_labelled", F.lit(1))
-        off = F.abs(F.col("blocked") - F.col("labelled") * share)
-        alike = off <= z * F.sqrt(F.col("labelled") * share * (1 - share))
-        branch = F.when(F.col("children") > max_children, "*").when(alike & (F.col("children") > 1), "~")
-        named = nodes.join(pooled, ["host", "template"]).select(
-            "host", "template", "segment", F.coalesce(branch, "segment").alias("branch")
+        widths = branches.groupBy("host", "template").agg(F.count("*").alias("branches"))
+        spread = F.greatest(F.lit(z), F.sqrt(2 * F.log(F.col("branches"))))
+        off = F.abs(F.col("k") - F.col("n") * F.col("share"))
+        alike = off <= spread * F.sqrt(F.col("n") * F.col("share") * (1 - F.col("share")))
+        named = branches.join(widths, ["host", "template"]).select(
+            "host", "template", "segment", F.when(alike & (F.col("branches") > 1), "*").otherwise(F.col("segment")).alias("branch")
         )
-        # Small, and written: each level reads the one above three times.
-        tree = written(
-            tree.join(named, ["host", "template", "segment"], "left")
-            .withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "branch"), F.lit(""))))
-            .drop("segment", "branch"),
+        left = written(
+            rows.join(named, ["host", "template", "segment"])
+            .withColumns({"template": F.concat("template", "trunk", F.lit("/"), "branch"), "level": F.col("fork") + 1})
+            .select(*columns, "level"),
             "url-tree",
         )
-    return tree
+    return reduce(DataFrame.unionByName, grown, paths.where("false").withColumn("template", F.lit("")))
 
 
 def judge_urls(
     pages: DataFrame,
     rules: dict[str, str] | None = None,
-    depth: int = DEPTH,
-    max_children: int = MAX_CHILDREN,
+    support: float = SUPPORT,
     z: float = Z,
     smoothing: float = SMOOTHING,
     reject: float = REJECT,
@@ -115,11 +150,11 @@ def judge_urls(
     by_rule = F.lit(None).cast("string")
     for rule, verdict in rules.items():
         by_rule = F.when(F.col("rule") == rule, verdict).otherwise(by_rule)
-    rows = rows.withColumns({"by_rule": by_rule, "shape": shapes(F.col("path"), depth)})
+    rows = rows.withColumns({"by_rule": by_rule, "shape": shapes(F.col("path"))})
     paths = rows.groupBy("host", "shape").agg(
         F.count("rule").alias("labelled"), F.count_if(F.col("by_rule") == "block").alias("blocked")
     )
-    tree = grow(paths, depth, max_children, z)
+    tree = grow(paths, support, z)
     counts = [F.sum(c).alias(c) for c in ("labelled", "blocked")]
 
     def smoothed(prior: Column) -> Column:
