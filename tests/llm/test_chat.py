@@ -1,11 +1,13 @@
 import hashlib
+import re
+from functools import cache
 
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
 from clickloom.llm import chat
-from clickloom.llm.chat import PROBE, escape, format_chats, load, render, turns_of, unescape
+from clickloom.llm.chat import PROBE, Encoder, default_tokenizer, escape, format_chats, render, turns_of, unescape
 
 NASTY = st.lists(st.sampled_from(["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", "/s>", "[", "INST]", " ", "\n", "é", "😀", "a"])).map("".join)
 
@@ -50,19 +52,34 @@ def test_against_brute_force(spark, monkeypatch, segment):
     for r in found:
         assert r.formatted_chars == len(r.formatted) and len(r.input_ids) == len(r.loss_mask)
         assert any(r.loss_mask) == (r.loss_chars > 0)
-        assert r.input_ids == load(chat.default_tokenizer()).encode(r.formatted, add_special_tokens=False).ids
+        assert r.input_ids == Encoder(*default_tokenizer()).ids(r.formatted).tolist()
 
 
 PIECES = ["(yes)", "fine.", "]ok", "]", "[", "<", "</", "s>", "<s>", "</s>", "[/INST]", " [/INST", "\\\\", " ", "  ", "\\n", "é", "😀", "日本", "a", "INST"]
 SAID = st.lists(st.sampled_from(PIECES)).map("".join)
 
 
+ENCODER = Encoder(*default_tokenizer())
+
+
+@cache
+def other_library():
+    """The same vocabulary in another library."""
+    import public_tokenizers
+    from tokenizers import AddedToken, Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    other.encode_special_tokens = True
+    other.add_tokens([AddedToken(mark, normalized=False, special=False) for mark in (chat.START, chat.MIDDLE, chat.END)])
+    return other
+
+
 def by_position(turns, encoder):
     """Ids and mask put together turn by turn, each role and text encoded alone."""
     ids, mask = [], []
     for role, text in turns:
         for part, said in ((chat.START, False), (escape(role), False), (chat.MIDDLE, False), (escape(text), role == "assistant"), (chat.END, False)):
-            found = encoder.encode(part, add_special_tokens=False).ids
+            found = encoder.ids(part).tolist()
             ids += found
             mask += [said] * len(found)
     return ids, mask
@@ -70,7 +87,7 @@ def by_position(turns, encoder):
 
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "", "x ["]), SAID), max_size=6), st.sampled_from([1, 8, 1 << 20]))
 def test_mask_token_by_token(turns, segment):
-    encoder = load(chat.default_tokenizer())
+    encoder = ENCODER
     before, chat.SEGMENT = chat.SEGMENT, segment
     try:
         conversation = chat.Conversation(1, encoder, True)
@@ -80,20 +97,27 @@ def test_mask_token_by_token(turns, segment):
     finally:
         chat.SEGMENT = before
     assert (ids, mask) == by_position(turns, encoder)
-    assert ids == encoder.encode(formatted, add_special_tokens=False).ids
+    assert ids == encoder.ids(formatted).tolist() == other_library().encode(formatted, add_special_tokens=False).ids
     said = "".join(text for role, text in turns if role == "assistant")
-    masked = encoder.decode([i for i, m in zip(ids, mask, strict=True) if m], skip_special_tokens=False)
+    masked = encoder.tokens.decode([i for i, m in zip(ids, mask, strict=True) if m])
     assert unescape(masked) == said and n == len(turns)
     assert (loss_chars, digest) == (len(said), hashlib.sha256(said.encode()).hexdigest())
 
 
-def test_a_tokenizer_that_drops_text_is_refused():
-    import public_tokenizers
+@pytest.mark.parametrize("before", ["", "word", "\n"])
+@pytest.mark.parametrize("after", ["", "word", "\x1c", "<s>"])
+def test_long_white_space_is_split_alike(monkeypatch, before, after):
+    monkeypatch.setattr(chat, "LONG_RUN", 3)
+    monkeypatch.setattr(chat, "WHITE_RUN", re.compile(chat.WHITE_RUN.pattern.replace(str(1 << 15), "3")))
+    turns = [("user  ", before + white + after) for white in ("   ", " \n\t  \n", "\x85\xa0\u2003 ", " \x1d   ")]
+    rendered, _ = render(turns + [("assistant", t) for _, t in turns])
+    assert ENCODER.ids(rendered).tolist() == other_library().encode(rendered, add_special_tokens=False).ids
+
 
-    conversation = chat.Conversation(1, load(public_tokenizers.path("word_bpe_49k.json")), True)
-    conversation.add("assistant", "two  words")
-    with pytest.raises(ValueError):
-        conversation.row()
+def test_a_text_of_white_space_alone(spark):
+    text = " " * 3_000_000 + "x"
+    found = format_chats(conversations(spark, [(1, 0, "assistant", text)]), with_tokens=False).first()
+    assert found.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
 def test_empty_table(spark):
