@@ -3,21 +3,26 @@
 Words are lower-cased runs of letters and digits (letters of three UTF-8 bytes or more stay as
 they are).  Numbers, units after a number, and
 capitalised words inside a sentence become the placeholders of their type; what stood
-there is a slot value.  Windows of ``size`` such words are hashed on both sides, and so are
-the plain windows, without placeholders: a text in capitals throughout shows no names.
+there is a slot value.  Windows of ``size`` such words are hashed on both sides; one with
+fewer than ``literals`` words that are no placeholder goes on until it has them, so text
+rich in numbers has windows like other text.  The plain windows, without placeholders, are
+hashed too: a text in capitals throughout shows no names.
 
 1. A bitmap of ``BITS`` bits of the benchmark's window hashes, of fixed size, lets through
    the windows of documents that may match.
-2. These are joined with the benchmark's on the hash.  Matches of one document and item at
-   one distance form an alignment; it counts only if slots are consistent, that is, every
-   slot value of the item stands for one value of the document and the other way round.
-3. A document leaks an item if consistent alignments cover at least ``share`` of the item's
+2. A document that leaks an item has ``share`` of its windows, so it has one of the others
+   and one more, whichever are left out.  Those an item shares with most items are left
+   out: documents and items meet on the rarest, and a phrase that half the benchmark
+   shares brings no pairs by itself.
+3. Of the pairs that met all windows are joined on the hash.  Matches of one document and
+   item at one distance form an alignment; it counts only if slots are consistent, that is,
+   every slot value of the item stands for one value of the document and the other way round.
+4. A document leaks an item if consistent alignments cover at least ``share`` of the item's
    windows of one kind.
 
-Defined results: an item of fewer than ``size`` words is one window; windows with fewer
-than ``literals`` words that are no placeholder (or than all of a shorter item) are left
-out on both sides, and an item without other windows is found by plain ones only; null and empty
-texts match nothing; rows repeated with the same id and text are one document; a null id
+Defined results: an item of fewer than ``size`` words is one window, left out if fewer than
+``literals`` of its words (or than all) are no placeholder; an item without windows with
+placeholders is found by plain ones only; null and empty texts match nothing; rows repeated with the same id and text are one document; a null id
 is an id of its own.  An empty table on either side gives no rows.
 """
 
@@ -28,12 +33,12 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.queries import query
 from clickloom.llm.shared import id_and_text, packed, small_batches, table, written
-from clickloom.llm.textcore import LOWER, chunks, span_hashes, spans, windows
+from clickloom.llm.textcore import LOWER, chunks, run_hashes, span_hashes, spans
 
 SIZE = 8
 LITERALS = 5
@@ -119,15 +124,17 @@ def templates(data: np.ndarray, starts: np.ndarray):
     return start, stop, first, hashes, typed, number | name | unit
 
 
-WINDOW = "at int, hash long, slots array<string>, windows int, plain boolean"
+WINDOW = "at int, hash long, slots array<string>, windows int, plain boolean, size int"
 
 
 def template_windows(rows: DataFrame, keys: list[str], sizes, literals: int, bitmap=None) -> DataFrame:
-    """(keys, at, hash, slots, windows, plain): windows of every row; ``windows`` says how many of its kind the row has.
+    """(keys, at, hash, slots, windows, plain, size): windows of every row; ``windows`` says how many of its kind the row has.
 
-    ``sizes``: for documents the broadcast window sizes; for items one size, items of fewer
-    words being one window.  With a bitmap only windows it may hold are returned.
+    ``sizes``: the window sizes, the largest that of windows proper, the others of items of so
+    many words.  Without a bitmap the rows are items: each has windows of one size.  With one
+    they are documents, and only windows it may hold are returned.
     """
+    longest = max(sizes)
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,21 +146,24 @@ def template_windows(rows: DataFrame, keys: list[str], sizes, literals: int, bit
                 row_of = np.repeat(np.arange(hi - lo), n)
                 kinds = ((False, typed, slot), (True, words, np.zeros(len(slot), bool)))
                 for size, (plain, hashes, slot) in product(sizes, kinds):
-                    whole = slot.cumsum()
-                    value, ok = windows(hashes, first, size)
-                    value += np.uint64(size + (plain << 8))
-                    at = np.flatnonzero(ok)
-                    held = whole[at + size - 1] - whole[at] + slot[at]
-                    at = at[size - held >= min(literals, size)]
+                    held = np.r_[0, np.cumsum(~slot)]
+                    begin = np.arange(len(slot))
+                    enough = np.searchsorted(held, held[:-1] + min(literals, size)) if size == longest else begin
+                    stops = np.maximum(enough, begin + size)
+                    at = np.flatnonzero(stops <= np.repeat(first[1:], n))
+                    if size < longest:
+                        at = at[held[at + size] - held[at] >= min(literals, size)]
+                    value = run_hashes(hashes, at, stops[at]) + np.uint64(size + (plain << 8))
                     if bits is None:
-                        at = at[np.minimum(n[row_of[at]], max(sizes)) == size]
+                        taken = np.minimum(n[row_of[at]], longest) == size
                     else:
-                        at = at[bits[(value[at] % np.uint64(BITS)).astype(np.int64)]]
+                        taken = bits[(value % np.uint64(BITS)).astype(np.int64)]
+                    at, value = at[taken], value[taken]
                     if not len(at):
                         continue
                     count = np.bincount(row_of[at], minlength=hi - lo)
                     slots = [
-                        [data[start[i] : stop[i]].tobytes().decode().lower() for i in range(a, a + size) if slot[i]]
+                        [data[start[i] : stop[i]].tobytes().decode().lower() for i in range(a, stops[a]) if slot[i]]
                         for a in at
                     ]
                     take = pa.array(lo + row_of[at])
@@ -161,17 +171,33 @@ def template_windows(rows: DataFrame, keys: list[str], sizes, literals: int, bit
                         [
                             *[batch.column(k).take(take) for k in keys],
                             pa.array((at - first[row_of[at]]).astype(np.int32)),
-                            pa.array(value[at].astype(np.int64)),
+                            pa.array(value.astype(np.int64)),
                             pa.array(slots, pa.list_(pa.string())),
                             pa.array(count[row_of[at]].astype(np.int32)),
                             pa.array(np.full(len(at), plain)),
+                            pa.array(np.full(len(at), size, np.int32)),
                         ],
-                        names=[*keys, "at", "hash", "slots", "windows", "plain"],
+                        names=[*keys, "at", "hash", "slots", "windows", "plain", "size"],
                     )
 
     return rows.mapInArrow(run, ", ".join([*[f"{k} {types[k]}" for k in keys], WINDOW]))
 
 
+def probes_of(items: DataFrame, share: float) -> DataFrame:
+    """(hash, item) of the windows one of which a document must have to leak the item: its rarest."""
+    common = items.groupBy("hash").agg(F.count("*").alias("common"))
+    places = items.join(common, "hash").groupBy("item", "plain", "at").agg(
+        F.max("common").alias("common"), F.min("windows").alias("windows")
+    )
+    own = Window.partitionBy("item", "plain")  # no longer than the text of an item
+    needed = F.ceil(F.min("windows").over(own) * share - 1e-9)
+    ranked = places.withColumns(
+        {"rank": F.row_number().over(own.orderBy("common", "at")), "left": F.count("*").over(own) - needed + 1}
+    )
+    rarest = ranked.where("rank <= left").select("item", "plain", "at")
+    return items.join(rarest, ["item", "plain", "at"]).select("hash", "item").distinct()
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, size: int = SIZE, literals: int = LITERALS, share: float = SHARE
 ) -> DataFrame:
@@ -188,12 +214,15 @@ def leaks(
     bits = np.zeros(BITS, bool)
     spots = items.select(F.expr(f"cast(hash & {BITS - 1} as int)").alias("spot")).distinct()
     bits[spots.toPandas()["spot"].to_numpy(np.int64)] = True
-    short = [r[0] for r in items.groupBy("item_id").agg(F.max("windows").alias("w")).where("w = 1").select(F.lit(1)).limit(1).collect()]
-    used = sizes if short else [size]
-    found = template_windows(docs, ["doc_id", "print"], used, literals, spark.sparkContext.broadcast(bits))
-    matched = found.drop("windows", "plain").join(
-        items.select("item_id", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "windows", "plain"), "hash"
+    used = [r[0] for r in items.where("size < %d" % size).select("size").distinct().collect()]  # fewer than ``size``
+    found = template_windows(docs, ["doc_id", "print"], [*used, size], literals, spark.sparkContext.broadcast(bits))
+    found = written(found.drop("windows", "plain", "size").withColumn("doc", F.struct("doc_id", "print")).drop("doc_id", "print"), "met-windows")
+    items = items.withColumn("item", F.struct("item_id"))  # fields of structs that are null are equal
+    met = found.select("doc", "hash").join(probes_of(items, share), "hash").select("doc", "item").distinct()
+    theirs = items.select(
+        "item", "item_id", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "windows", "plain"
     )
+    matched = found.join(met, "doc").join(theirs, ["item", "hash"]).select("*", "doc.*")
     pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("x"), F.col("slots").alias("y")))))
     key = ["doc_id", "print", "item_id"]
     aligned = (

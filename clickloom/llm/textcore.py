@@ -113,6 +113,14 @@ def windows(hashes: np.ndarray, first: np.ndarray, size: int, kind: int = 0) ->
     return value, np.arange(n) + size <= end
 
 
+def run_hashes(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The hash that ``windows`` gives (kind 0) of runs of words of any length."""
+    up, down = WINDOW_POWERS[0](len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, _U)
+    np.cumsum(mix(hashes) * up[:-1], out=total[1:])
+    return mix((total[stop] - total[start]) * down[start])
+
+
 def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     """Minimum of every ``size`` consecutive values, by doubling; the last ``size - 1`` entries are not meant."""
     out, span = values.copy(), 1
