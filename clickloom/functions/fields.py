@@ -59,6 +59,28 @@ def payload_is_broken(payload: Column) -> Column:
     return payload.isNotNull() & F.try_parse_json(payload).isNull()
 
 
+def with_parsed(events: DataFrame, payload: str = "event_data") -> tuple[DataFrame, str]:
+    """The events with their payload as one VARIANT column more, and its name, which no column of theirs has.
+
+    Text that is no JSON is NULL.  Spark keeps a costly column that is read more than once as
+    a projection of its own, so however many keys are read the payload is parsed once.
+    """
+    name = "payload"
+    while name.lower() in map(str.lower, events.columns):
+        name += "_"
+    return events.withColumn(name, F.try_parse_json(payload)), name
+
+
+def parsed_text(parsed: Column, key: str) -> Column:
+    """Text under a top-level key of a parsed payload, JSON text of what is nested; NULL for JSON null."""
+    return F.try_variant_get(parsed, f"$.{key}", "string")
+
+
+def parsed_keys(parsed: Column) -> Column:
+    """Top-level keys of a parsed payload; NULL for what is no object."""
+    return F.map_keys(parsed.try_cast("map<string,variant>"))
+
+
 def as_number(text: Column) -> Column:
     return text.try_cast("double")
 
@@ -75,6 +97,11 @@ def first_truthy(payload: Column, keys: Sequence[str]) -> Column:
     return F.coalesce(*[truthy(F.get_json_object(payload, f"$.{key}")) for key in keys])
 
 
+def first_truthy_of(parsed: Column, keys: Sequence[str]) -> Column:
+    """The same of a parsed payload; a number states its value, so 12.0 reads 12."""
+    return F.coalesce(*[truthy(parsed_text(parsed, key)) for key in keys])
+
+
 def payload_revenue(payload: Column, keys: Sequence[str]) -> Column:
     """Revenue from one key as is, or from several keys by the first-truthy rule.
 

@@ -92,16 +92,16 @@ def ingest_day(events: DataFrame) -> Column | None:
     return None
 
 
-def row_findings(events: DataFrame, contract: Contract = DEFAULT) -> Column:
-    """Array of findings for one raw event; empty for a clean one."""
+def row_findings(events: DataFrame, parsed: Column, contract: Contract = DEFAULT) -> Column:
+    """Array of findings for one raw event, its payload parsed; empty for a clean one."""
     payload = F.col("event_data")
     # Keys of an object; NULL for a missing payload, broken JSON and JSON that is no object.
-    keys = F.json_object_keys(F.when(~fields.payload_is_broken(payload), payload))
+    keys = fields.parsed_keys(parsed)
     nothing = F.array().cast("array<string>")
     moment = fields.instant(events, "timestamp")
     bare = (F.trim(F.coalesce(payload, F.lit(""))) == "") | F.coalesce(F.size(keys) == 0, F.lit(False))
-    revenue = F.get_json_object(payload, "$.revenue")
-    amount = F.coalesce(*[F.get_json_object(payload, f"$.{k}") for k in ("revenue", "value", "total")])
+    revenue = fields.parsed_text(parsed, "revenue")
+    amount = F.coalesce(*[fields.parsed_text(parsed, k) for k in ("revenue", "value", "total")])
     number = fields.as_number(amount)
     single = [
         (
@@ -147,9 +147,15 @@ def row_findings(events: DataFrame, contract: Contract = DEFAULT) -> Column:
 
 
 def tag_rows(raw: DataFrame, contract: Contract = DEFAULT) -> DataFrame:
-    """Raw events (aliases folded, absent columns NULL) with their ``findings``."""
+    """Raw events (aliases folded, absent columns NULL) with their ``findings``.
+
+    Unfolding an array of one makes the findings the output of a generator, below which no
+    filter on them can be pushed, so the payload is not parsed again for it.
+    """
     events = fill_missing(fold_aliases(raw, contract.aliases), ("client_id", "event_data"))
-    return events.withColumn("findings", row_findings(events, contract))
+    with_payload, parsed = fields.with_parsed(events)
+    findings = F.explode(F.array(row_findings(with_payload, F.col(parsed), contract)))
+    return with_payload.select(*[F.col(c) for c in events.columns if c != "findings"], findings.alias("findings"))
 
 
 def must_quarantine(findings: Column) -> Column:
@@ -176,9 +182,10 @@ def _folded(raw: DataFrame, name: str, contract: Contract) -> Column:
     return F.coalesce(*names) if names else F.lit(None).cast("string")
 
 
-def day_flags(raw: DataFrame, contract: Contract = DEFAULT) -> dict[str, Column]:
+def day_flags(raw: DataFrame, contract: Contract = DEFAULT, parsed: Column | None = None) -> dict[str, Column]:
     """What each event adds to its day: conditions whose counts the rules about a whole day need."""
     moment = fields.instant(raw, "timestamp")
+    parsed = F.try_parse_json("event_data") if parsed is None else parsed
 
     def present(name: str) -> Column:
         if "header" in raw.columns:
@@ -194,7 +201,7 @@ def day_flags(raw: DataFrame, contract: Contract = DEFAULT) -> dict[str, Column]
         "completed": F.col("event_name") == "checkout_completed",
         "started": F.col("event_name") == "checkout_started",
         "bad_timestamp": F.col("timestamp").isNotNull() & moment.isNull(),
-        "bad_event_data": fields.payload_is_broken(F.col("event_data")),
+        "bad_event_data": F.col("event_data").isNotNull() & parsed.isNull(),
     }
 
 
@@ -300,9 +307,11 @@ def contract_violations(raw: DataFrame, day: str = "event_date", contract: Contr
     branches that read these counts share that one exchange: they are told apart by an
     aggregate, which Spark can't push below it.  The other two passes find exact copies.
     """
-    flags = day_flags(raw, contract)
-    flagged = raw.withColumn("flags", F.struct(*[test.alias(name) for name, test in flags.items()]))
-    tagged = tag_rows(flagged, contract)
+    events, parsed = fields.with_parsed(raw)
+    flags = day_flags(raw, contract, F.col(parsed))
+    flagged = events.withColumn("flags", F.struct(*[test.alias(name) for name, test in flags.items()]))
+    flagged = fill_missing(fold_aliases(flagged, contract.aliases), ("client_id",))
+    tagged = flagged.withColumn("findings", row_findings(flagged, F.col(parsed), contract))
     nothing = F.lit(None).cast("string")
     none = F.lit(None).cast(flagged.schema["flags"].dataType)
 
@@ -311,7 +320,7 @@ def contract_violations(raw: DataFrame, day: str = "event_date", contract: Contr
             F.lit(kind).alias("kind"), rule.alias("rule"), severity.alias("severity"), code.alias("code"), key.alias("key"), own.alias("flags")
         )
 
-    transaction = F.when(is_conversion(), fields.first_truthy(F.col("event_data"), contract.transaction_keys))
+    transaction = F.when(is_conversion(), fields.first_truthy_of(F.col(parsed), contract.transaction_keys))
     facts = F.concat(
         F.array(fact("day", own=F.col("flags"))),
         F.filter(F.array(F.when(transaction.isNotNull(), fact("transaction", key=transaction))), lambda f: f.isNotNull()),

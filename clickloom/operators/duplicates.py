@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.fields import first_truthy
+from clickloom.functions.fields import first_truthy_of, with_parsed
 from clickloom.operators.normalize import is_conversion
 
 
@@ -42,9 +42,9 @@ REPORT_KEYS = ("transaction_id", "order_id")
 
 def payload_transactions(events: DataFrame, *keep: str, keys: Sequence[str] = REPORT_KEYS) -> DataFrame:
     """(keep..., transaction): id of every conversion event that states one."""
+    conversions, parsed = with_parsed(events.where(is_conversion()))
     return (
-        events.where(is_conversion())
-        .select(*keep, first_truthy(F.col("event_data"), keys).alias("transaction"))
+        conversions.select(*keep, first_truthy_of(F.col(parsed), keys).alias("transaction"))
         .where(F.col("transaction").isNotNull())
     )
 

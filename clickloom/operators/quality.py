@@ -44,10 +44,10 @@ def file_profile(events: DataFrame, file: str = "file") -> DataFrame:
     Events are counted per (file, event name) first, so the second grouping, which also
     gives the breakdown, sees a few rows per file whatever the size of the file.
     """
-    payload = F.col("event_data")
-    stated = fields.first_truthy(payload, REVENUE_KEYS)
+    events, parsed = fields.with_parsed(events)
+    stated = fields.first_truthy_of(F.col(parsed), REVENUE_KEYS)
     revenue = fields.as_number(stated)
-    broken = fields.payload_is_broken(payload) | (is_conversion() & stated.isNotNull() & revenue.isNull())
+    broken = (F.col("event_data").isNotNull() & F.col(parsed).isNull()) | (is_conversion() & stated.isNotNull() & revenue.isNull())
     if "_corrupt_record" in events.columns:
         corrupt = F.col("_corrupt_record").isNotNull()
     else:

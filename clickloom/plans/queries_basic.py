@@ -15,7 +15,7 @@ from clickloom.operators.sessions import build_sessions
 from clickloom.plans.comparison_sql import BUYS, CHANNEL_A, CHANNEL_B, first_nonzero, json_number, json_text
 from clickloom.plans.registry import Inputs, query
 from clickloom.sources import event_files, quarantine, tables
-from clickloom.operators.contract import must_quarantine, row_findings
+from clickloom.operators.contract import must_quarantine, tag_rows
 
 # ---------------------------------------------------------------- sources and sinks
 
@@ -189,8 +189,8 @@ def _(x):
 @query("s16_contract_rules", f"""
 SELECT event_date, count(*) FILTER (WHERE {CRITICAL_ROW}) AS critical, count(*) AS n FROM raw GROUP BY 1""")
 def _(x):
-    bad = must_quarantine(row_findings(x.raw))
-    return x.raw.groupBy("event_date").agg(F.count_if(bad).alias("critical"), F.count(F.lit(1)).alias("n"))
+    bad = must_quarantine(F.col("findings"))
+    return tag_rows(x.raw).groupBy("event_date").agg(F.count_if(bad).alias("critical"), F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------------- normalisation and predicates
@@ -303,7 +303,7 @@ def _(x):
 
 @query("p15_quarantine_predicate", f"SELECT event_id, event_name FROM raw WHERE {CRITICAL_ROW}")
 def _(x):
-    return x.raw.where(must_quarantine(row_findings(x.raw))).select("event_id", "event_name")
+    return tag_rows(x.raw).where(must_quarantine(F.col("findings"))).select("event_id", "event_name")
 
 
 # ------------------------------------------------------------------------- channels

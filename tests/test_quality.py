@@ -1,6 +1,7 @@
 from builders import raw_row
 from pyspark.sql import functions as F
 
+from clickloom.functions import fields
 from clickloom.operators import contract, quality
 from clickloom.operators.duplicates import duplicate_rows, duplicate_transaction_count
 from clickloom.operators.metrics import conversion_rates, period_totals
@@ -57,6 +58,42 @@ def test_published_rates(spark):
     assert [round(100 * r, 2) for r in rates] == [0.64, 5.02, 35.17]
 
 
+PAYLOADS = [
+    None, "", " ", "{", "[1]", "3", "null", "{}", '{"revenue":1.5}', '{"revenue":"1.50","x":null}', '{"revenue":{"a":1}}',
+    '{"revenue":"abc"}', '{"revenue":true}', '{"value":0,"total":-2}', '{"revenue":null,"value":"7"}', '{"revenue":1e3,"transaction_id":""}',
+    '{"transaction_id":"t1","revenue":12345678901234567890}', '{"transaction_id":17,"revenue":0.0}', '{"é":"\\u00e9","revenue":"é"}', '{"transaction_id":"t1"} x',
+]
+
+
+def test_a_parsed_payload_reads_like_its_text(spark):
+    events, parsed = fields.with_parsed(spark.createDataFrame([(p, 1) for p in PAYLOADS], "event_data string, Payload int"))
+    assert parsed not in ("payload", "Payload") and events.columns == ["event_data", "Payload", parsed]
+    payload = F.col("event_data")
+    same = [
+        F.col(parsed).isNull().eqNullSafe(F.try_parse_json(payload).isNull()),
+        F.sort_array(fields.parsed_keys(F.col(parsed))).eqNullSafe(F.sort_array(F.json_object_keys(payload))),
+    ]
+    for key in ("revenue", "value", "transaction_id"):
+        text = F.get_json_object(payload, f"$.{key}")
+        number = fields.as_number(fields.parsed_text(F.col(parsed), key))
+        same.append(number.eqNullSafe(fields.as_number(text)) & (F.col(parsed).isNull() | text.isNull().eqNullSafe(fields.parsed_text(F.col(parsed), key).isNull())))
+    assert [r for r in events.select("event_data", *[c.alias(f"same{i}") for i, c in enumerate(same)]).collect() if not all(r[1:])] == []
+
+
+def test_payload_parsed_once_a_row(spark):
+    events = day([raw_row("a", "2025-03-01T10:00:00Z", "purchase", payload=p) for p in PAYLOADS], spark)
+
+    def parses(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return max(line.count("parseJson(") for line in plan.splitlines()), "get_json_object" in plan
+
+    assert parses(contract.row_violations(events)) == (1, False)
+    assert parses(contract.contract_violations(events)) == (1, False)
+    assert parses(quality.file_profile(events, "event_date")) == (1, False)
+    assert parses(contract.tag_rows(events).where(contract.must_quarantine(F.col("findings")))) == (1, False)
+    assert parses(route(events)) == (1, False)
+
+
 def day(rows, spark, date="2025-03-01"):
     schema = "client_id string, clientId string, timestamp string, event_name string, page_url string, referrer string, event_data string"
     return spark.createDataFrame(rows, schema).withColumn("file", F.lit(f"events_{date}.csv")).withColumn(
