@@ -44,6 +44,8 @@ SIZE = 8
 LITERALS = 5
 SHARE = 0.5
 BITS = 1 << 22
+# Bytes of text whose words are held as arrays at once, or one longer text.
+CHUNK_BYTES = 1 << 19
 # Units that make a placeholder when they follow a number.
 UNITS = (
     "mm cm m km inch inches ft feet mile miles yd g kg mg lb lbs oz ton tons l ml litre litres liter liters s sec second "
@@ -140,7 +142,7 @@ def template_windows(rows: DataFrame, keys: list[str], sizes, literals: int, bit
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value if bitmap else None
         for batch in batches:
-            for lo, hi, data, starts in chunks(batch.column("text")):
+            for lo, hi, data, starts in chunks(batch.column("text"), CHUNK_BYTES):
                 start, stop, first, words, typed, slot = templates(data, starts)
                 n = np.diff(first)
                 row_of = np.repeat(np.arange(hi - lo), n)
