@@ -92,12 +92,14 @@ def _(x):
 
 
 def damaged_files(x: Inputs) -> str:
-    """Daily files of CSV lines without a header, some of which lost their last two fields."""
+    """Daily files with a header, some of whose lines lost their last two fields."""
     root = tables.shared_folder(x.spark, "damaged-files")
     whole = F.concat_ws(",", F.col("event_id").cast("string"), "event_name", F.lit("/p"), F.col("timestamp").cast("string"))
     cut = F.concat_ws(",", F.col("event_id").cast("string"), "event_name")
-    lines = x.files.select("file", F.when(F.col("event_id") % 89 == 7, cut).otherwise(whole).alias("line"))
-    lines.hint("rebalance", F.col("file")).write.partitionBy("file").text(root)
+    line = F.when(F.col("event_id") % 89 == 7, cut).otherwise(whole)
+    # One column named like the header and parted by nothing: its lines are written as they are.
+    lines = x.files.select("file", line.alias("event_id,event_name,page_url,timestamp")).hint("rebalance", F.col("file"))
+    lines.write.partitionBy("file").option("header", True).option("sep", "\x01").csv(root)
     return f"{root}/*{event_files.FILE_GLOB}"
 
 
@@ -105,17 +107,7 @@ def damaged_files(x: Inputs) -> str:
 SELECT {FILE_NAME} AS file, count(*) FILTER (WHERE event_id % 89 <> 7) AS kept,
   count(*) FILTER (WHERE event_id % 89 = 7) AS skipped FROM raw GROUP BY 1""")
 def _(x):
-    text = x.spark.read.option("recursiveFileLookup", True).text(damaged_files(x))
-    lines = text.select(F.regexp_extract(F.col("_metadata.file_path"), event_files.FILE_PATTERN, 1).alias("file"), "value")
-    parsed = lines.select(
-        "file",
-        F.from_csv(
-            "value",
-            "event_id string, event_name string, page_url string, timestamp string, _corrupt_record string",
-            {"columnNameOfCorruptRecord": "_corrupt_record"},
-        ).alias("row"),
-    )
-    events = parsed.select("file", "row.*")
+    events = event_files.read_event_files(x.spark, damaged_files(x))
     kept = event_files.readable(events).groupBy("file").agg(F.count(F.lit(1)).alias("kept"))
     skipped = event_files.unreadable(events).groupBy("file").agg(F.count(F.lit(1)).alias("skipped"))
     return kept.join(skipped, "file", "left").select("file", "kept", F.coalesce("skipped", F.lit(0)).alias("skipped"))
