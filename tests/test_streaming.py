@@ -1,3 +1,5 @@
+import pandas as pd
+import pyarrow as pa
 from builders import clock, raw_row
 
 from clickloom import PANDAS, SQL
@@ -75,3 +77,50 @@ def test_cart_timers_take_events_in_any_order(spark, tmp_path):
         cart_timers.run_with_timers(stage_events(spark.readStream.schema(schema).parquet(landing)), out, state, lateness="1 hour")
     found = sorted((r.user_id, r.cart_ts.hour, r.cart_ts.minute) for r in spark.read.parquet(out).collect())
     assert found == [("b", 0, 0), ("c", 0, 50)]
+
+
+class FakeState:
+    """A bucket's value and timers, counting the calls."""
+
+    value, calls = None, 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+    def registerTimer(self, at):  # noqa: N802
+        self.calls += 1
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return 2 * 3_600_000
+
+
+def test_users_of_a_bucket_share_the_calls_on_its_state():
+    hour, n, state = 3_600_000_000, 500, FakeState()
+    timers = cart_timers.CartTimers(hour)
+    timers.init(state)
+    users = [f"u{i}" for i in range(n)]
+    frame = pd.DataFrame({"user_id": users, "micros": range(n), "is_cart": True, "event_key": range(n)})
+    # Every second user buys a quarter of an hour later, u1 puts something in the cart when the watermark stands.
+    bought = frame[::2].assign(micros=hour // 4, is_cart=False)
+    again = frame[1:2].assign(micros=2 * hour)
+    for _ in timers.handleInputRows((0,), iter([frame, bought]), state):
+        pass
+    for _ in timers.handleInputRows((0,), iter([again]), state):
+        pass
+    found = pd.concat(timers.handleExpiredTimer((0,), state, None))
+    assert sorted(found["user_id"]) == sorted(users[1::2])
+    assert state.calls <= 10
+    assert pa.ipc.open_stream(state.value[0]).read_all().column("user_id").to_pylist() == ["u1"]
