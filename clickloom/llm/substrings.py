@@ -9,8 +9,8 @@ places, so a window repeats only if its anchor does.
    count is never too small, so no repeated window is lost.  The bitmaps are the only
    thing broadcast; ``max_cells`` bounds them.  Past that bound more windows pass the
    filter, and the result stays exact.
-2. Windows whose anchor is estimated repeated are ranked within their 128-bit word hash
-   by (document, start).  All but the first are repeats.  A window estimated *many* is
+2. Windows whose anchor is estimated repeated are sent to their anchor, those in a row
+   with one anchor together, and ranked within their 128-bit word hash by (document, start).  All but the first are repeats.  A window estimated *many* is
    ranked in salted shares first and then among the winners of the shares, so a passage
    of a third of all documents is no single task's work.
 3. Documents meet the starts of their repeated windows and drop the words these cover.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.queries import query
 from clickloom.llm.shared import id_and_text, small_batches, table, written
-from clickloom.llm.textcore import chunks, mix, sliding_min, span_hashes, windows, words
+from clickloom.llm.textcore import chunks, lists, mix, sliding_min, span_hashes, windows, words
 
 SIZE = 20
 GRAM = 6
@@ -42,6 +42,8 @@ MANY = 1000
 SHARES = 64
 LEAST_CELLS, MAX_CELLS = 1 << 20, 1 << 29
 FLUSH = 1 << 21
+# Windows sent together at most: a word said over and over is one anchor however long.
+RUN = 64
 LAST_ID = (1 << 63) - 1
 _U = np.uint64
 
@@ -155,7 +157,11 @@ def estimated(bits: np.ndarray, anchor: np.ndarray, cells: int) -> np.ndarray:
 
 
 def candidates(docs: DataFrame, size: int, cells: int, bitmaps, shares: int) -> DataFrame:
-    """Windows whose anchor is estimated repeated: (h1, h2, share, doc, tag, start)."""
+    """Windows whose anchor is estimated repeated: (anchor, share, doc, tag, start, h1, h2).
+
+    A row is a run of consecutive windows of one anchor, their hashes in a list from
+    ``start`` on, so that what they have in common is not sent with each of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         two, many = bitmaps.value
@@ -170,22 +176,31 @@ def candidates(docs: DataFrame, size: int, cells: int, bitmaps, shares: int) ->
                 if not len(at):
                     continue
                 row = np.repeat(np.arange(hi - lo), np.diff(first))[at]
-                hot = estimated(many, least[at], cells)
-                share = mix(doc[lo:hi].astype(_U))[row] % _U(shares) + _U(1)
+                anchor = least[at]
+                begins = np.ones(len(at), bool)
+                begins[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1])
+                begins |= at % RUN == 0
+                run_at = np.flatnonzero(begins)
+                of, ends = row[run_at], np.append(run_at, len(at))
+                hot = estimated(many, anchor[run_at], cells)
+                share = mix(doc[lo:hi].astype(_U))[of] % _U(shares) + _U(1)
                 h1, h2 = (windows(hashes, first, size, kind)[0][at] for kind in (0, 1))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(h1.astype(np.int64)),
-                        pa.array(h2.astype(np.int64)),
+                        pa.array(anchor[run_at].astype(np.int64)),
                         pa.array(np.where(hot, share, _U(0)).astype(np.int32)),
-                        pa.array(doc[lo:hi][row]),
-                        pa.array(tag[lo:hi][row]),
-                        pa.array((at - first[row]).astype(np.int32)),
+                        pa.array(doc[lo:hi][of]),
+                        pa.array(tag[lo:hi][of]),
+                        pa.array((at[run_at] - first[of]).astype(np.int32)),
+                        lists(h1.astype(np.int64), ends, pa.int64()),
+                        lists(h2.astype(np.int64), ends, pa.int64()),
                     ],
-                    names=["h1", "h2", "share", "doc", "tag", "start"],
+                    names=["anchor", "share", "doc", "tag", "start", "h1", "h2"],
                 )
 
-    return docs.mapInArrow(run, "h1 long, h2 long, share int, doc long, tag long, start int")
+    return docs.mapInArrow(
+        run, "anchor long, share int, doc long, tag long, start int, h1 array<long>, h2 array<long>"
+    )
 
 
 def repeated_starts(docs: DataFrame, size: int = SIZE, max_cells: int = MAX_CELLS, many: int = MANY) -> DataFrame:
@@ -193,9 +208,11 @@ def repeated_starts(docs: DataFrame, size: int = SIZE, max_cells: int = MAX_CELL
     cells = cells_for(docs, max_cells)
     bitmaps = docs.sparkSession.sparkContext.broadcast(merged_sketch(docs, size, cells, many))
     order = ("doc", "tag", "start")
-    ranked = candidates(docs, size, cells, bitmaps, SHARES).withColumn(
-        "place", F.rank().over(Window.partitionBy("h1", "h2", "share").orderBy(*order))
-    )
+    # Equal windows have equal anchors: one shuffle of the runs brings them together, and the ranking needs none of its own.
+    runs = candidates(docs, size, cells, bitmaps, SHARES).repartition("anchor", "share")
+    each = runs.select("anchor", "share", "doc", "tag", "start", F.posexplode(F.arrays_zip("h1", "h2")).alias("i", "h"))
+    each = each.select("anchor", "share", "doc", "tag", (F.col("start") + F.col("i")).alias("start"), "h.h1", "h.h2")
+    ranked = each.withColumn("place", F.rank().over(Window.partitionBy("anchor", "share", "h1", "h2").orderBy(*order)))
     # Winners of shares go on; of other windows only the repeats are of use.
     winner = (F.col("place") == 1) & (F.col("share") > 0)
     ranked = written(

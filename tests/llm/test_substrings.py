@@ -4,7 +4,7 @@ import re
 import cases
 import pytest
 
-from clickloom.llm.substrings import drop_repeats
+from clickloom.llm.substrings import ROWS, RUN, candidates, drop_repeats, keyed
 
 
 def brute(rows, size):
@@ -53,3 +53,18 @@ def test_full_sketch_loses_nothing(spark):
 
 def test_empty_table(spark):
     assert drop_repeats(cases.docs(spark, [])).count() == 0
+
+
+def test_windows_in_a_row_are_sent_together(spark):
+    """A row for every repeated window made shuffle and disk grow beyond four times the input."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rows = [(i, cases.prose(7, 400), *[None] * 5) for i in range(4)] + [(9, "a " * 400, *[None] * 5)]
+    docs, cells = keyed(cases.docs(spark, rows)), 1 << 16
+    everything = spark.sparkContext.broadcast((np.full(ROWS * cells // 8, 255, np.uint8),) * 2)
+    runs = candidates(docs, 20, cells, everything, 4)
+    n, windows, longest = runs.agg(F.count("*"), F.sum(F.size("h1")), F.max(F.size("h1"))).first()
+    assert windows == 5 * (400 - 20 + 1)
+    assert n < windows / 4
+    assert longest <= RUN
