@@ -75,8 +75,12 @@ def conversion_parts(events: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _earliest_changed(known: DataFrame, since: int, settings: Settings) -> int | None:
-    """Start of the earliest session that began before a moment and runs across it."""
+    """Start of the earliest session that began before a moment and runs across it.
+
+    Such a session has an event within a timeout after the moment; no later ones are read.
+    """
     cut = instant(since)
+    known = known.where(F.col("event_ts") <= instant(since + settings.timeout_minutes * MINUTE))
     across = build_sessions(known, settings).where((F.col("session_start_ts") < cut) & (F.col("session_end_ts") >= cut))
     return across.agg(F.unix_micros(F.min("session_start_ts"))).first()[0]
 
@@ -102,9 +106,12 @@ def load_batch(store: DayStore, raw: DataFrame, version: int, settings: Settings
 
     reach = settings.lookback_days * DAY_LENGTH + settings.timeout_minutes * MINUTE
     start = since - reach
+    known_days = [d for d in store.days(EVENTS) if d is not None]
     while True:
-        changed = _earliest_changed(_from(store, version, start), since, settings)
-        older = any(d is not None and d < day_before(start) for d in store.days(EVENTS))
+        older = any(d < day_before(start) for d in known_days)
+        # Only published events can have begun a session before the batch's earliest one.
+        near = any(d >= day_before(start) for d in known_days)
+        changed = _earliest_changed(_from(store, version, start), since, settings) if near else None
         if changed is None or changed >= start + settings.timeout_minutes * MINUTE or not older:
             break
         start -= reach  # the session may have begun before what was read
@@ -115,7 +122,8 @@ def load_batch(store: DayStore, raw: DataFrame, version: int, settings: Settings
     state = store.read(STATE, plus=version)
     near = store.read(STATE, since=day_before(changed), plus=version).select(*keys).distinct()
     touched = state.alias("s").join(near.alias("n"), same("n", "s", keys), "left_semi")
-    credited = conversions(touched, settings).where(F.col("conversion_ts") >= instant(changed))
+    # Read up to three times below.
+    credited = conversions(touched, settings).where(F.col("conversion_ts") >= instant(changed)).persist()
     fresh = attribute(credited, build_sessions(recent, settings), settings).withColumn("event_date", F.to_date("conversion_time"))
 
     gold_days = {d for d in store.days(GOLD) if d is not None and d >= day_before(changed)}
@@ -127,9 +135,10 @@ def load_batch(store: DayStore, raw: DataFrame, version: int, settings: Settings
     gold, kept = fresh, store.read(GOLD, days=gold_days)
     if kept is not None:
         kept = kept.where(F.col("conversion_time") < instant(changed))
-        kept = kept.alias("g").join(fresh.select(*keys).alias("f"), same("g", "f", keys), "left_anti")
+        kept = kept.alias("g").join(credited.select(*keys).alias("f"), same("g", "f", keys), "left_anti")
         gold = kept.unionByName(fresh)
     gold_days |= set(store.stage(GOLD, gold, version))
+    credited.unpersist()
     entries += [Entry(GOLD, d, replaces=True) for d in gold_days]
 
     mark = max(until, high_water(store) or until)

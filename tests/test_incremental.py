@@ -119,3 +119,22 @@ def test_empty_batch(spark, tmp_path):
     store = DayStore(spark, str(tmp_path / "store"))
     assert inc.load_batch(store, raw(spark, []), inc.STEP).since is None
     assert inc.STEP in store.versions()
+
+
+def test_sessions_across_a_cut_are_sought_near_it(spark, tmp_path, monkeypatch):
+    """The search folded the whole batch once more, and the first batch for nothing."""
+    seen, build = [], inc.build_sessions
+
+    def watched(events, settings):
+        seen.append(events.agg(F.unix_micros(F.max("event_ts"))).first()[0])
+        return build(events, settings)
+
+    monkeypatch.setattr(inc, "build_sessions", watched)
+    store = DayStore(spark, str(tmp_path / "store"))
+    first = [raw_row("a", clock(hours=23, minutes=50)), raw_row("b", clock(hours=1))]
+    second = [raw_row("a", clock(days=1, minutes=5)), raw_row("b", clock(days=3)), raw_row("a", clock(days=1, minutes=35))]
+    inc.load_batch(store, raw(spark, first), inc.STEP)
+    assert len(seen) == 1
+    load = inc.load_batch(store, raw(spark, second), 2 * inc.STEP)
+    assert len(seen) == 3 and load.since <= seen[1] <= load.since + SQL.timeout_minutes * inc.MINUTE < seen[2]
+    assert load.credited_from == load.since - 15 * inc.MINUTE
