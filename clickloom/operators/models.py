@@ -100,6 +100,8 @@ def fit_churn(examples: DataFrame, features: tuple[str, ...] = CHURN_FEATURES, s
     ]
     shape = {f"x_{f}": c for f, c in shaped.items()}
     model = Pipeline(stages=stages).fit(train.withColumns(shape))
+    # The summary holds the session, which cannot be sent to tasks once anything was observed in it.
+    model.stages[-1]._java_obj.setSummary(rows.sparkSession._jvm.scala.Option.empty())
     scored = model.transform(rows.withColumns(shape))
     scores = scored.select("user_id", "held_out", "churned", "recency_days", vector_to_array("probability")[1].alias("score"))
     out = scores.where("held_out")

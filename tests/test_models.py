@@ -2,6 +2,7 @@ import random
 
 import pytest
 from builders import clock, purchase, raw, raw_row
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from clickloom.operators import customers, funnel, models
@@ -39,6 +40,14 @@ def test_churn_model_is_better_than_recency(spark):
     assert {r.held_out for r in scores} == {True, False} and all(0 <= r.score <= 1 for r in scores)
 
 
+def test_churn_model_in_a_session_that_observed(spark):
+    watch = Observation()
+    spark.range(3).observe(watch, F.count(F.lit(1)).alias("n")).collect()
+    assert watch.get == {"n": 3}
+    fitted = models.fit_churn(models.churn_examples(stage_events(habits(spark, users=60)), CUT, 7))
+    assert all(0 <= r.score <= 1 for r in fitted.scores.collect())
+
+
 def test_auc_of_known_orders(spark):
     rows = [(0.1, False), (0.2, True), (0.3, False), (0.4, True)]
     assert models.auc(spark.createDataFrame(rows, "score double, churned boolean")) == pytest.approx(0.75)
